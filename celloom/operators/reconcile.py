@@ -28,6 +28,17 @@ def depth(dtype: DataType) -> int | None:
     return None
 
 
+def nullable(dtype: DataType) -> DataType:
+    """The type with NULL items allowed at every level, as stored lists have it."""
+    if isinstance(dtype, ArrayType):
+        return ArrayType(nullable(dtype.elementType), True)
+    return dtype
+
+
+def nullable_schema(schema: StructType) -> StructType:
+    return StructType([StructField(f.name, nullable(f.dataType)) for f in schema.fields])
+
+
 def _col(name: str) -> Column:
     return F.col(f"`{name}`")
 
@@ -78,6 +89,7 @@ class ColumnAction:
 
 def plan_reconcile(batch: StructType, table: StructType) -> list[ColumnAction]:
     """One action per column: the table's columns in order, then the batch's new ones."""
+    batch, table = nullable_schema(batch), nullable_schema(table)
     incoming = {f.name: f.dataType for f in batch.fields}
     actions = []
     for f in table.fields:
@@ -125,6 +137,7 @@ def migrate_table(df: DataFrame, target: StructType, compat: bool = True) -> Dat
     its new one, with no half-migrated state in between.
     """
     have = {f.name: f.dataType for f in df.schema.fields}
+    target = nullable_schema(target)
 
     def migrated(f: StructField) -> Column:
         if f.name not in have:
