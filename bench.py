@@ -71,14 +71,14 @@ def main() -> None:
     def run(name: str) -> None:
         QUERIES[name](spark, FOLDER).write.format("noop").mode("overwrite").save()
 
-    works = {f"parse_{n}": (lambda n=n: parse(n)) for n in (250, 150, 50)}
-    works |= {name: (lambda name=name: run(name)) for name in JOBS}
-    for work in works.values():
-        work()  # warm-up
-    times = {name: [] for name in works}
+    parses = {f"parse_{n}": (lambda n=n: parse(n)) for n in (250, 150, 50)}
+    parse(250)  # warm-up
+    times = {name: [] for name in (*parses, *JOBS)}
     for _ in range(REPEATS):
-        for name, work in works.items():
+        for name, work in parses.items():
             times[name].append(timed(work))
+    for name in JOBS:
+        times[name].append(timed(lambda: run(name)))
     medians = {name: round(statistics.median(t), 3) for name, t in times.items()}
     print(
         json.dumps(

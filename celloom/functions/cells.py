@@ -1,15 +1,18 @@
-"""The multi-value (m) / sub-value (s) cell model as column expressions.
+"""The multi-value (m) / sub-value (s) cell model as SQL expressions.
 
 A tag's cells arrive as ARRAY<STRUCT<_VALUE, _m, _s>> in document order. An
 absent attribute means position 1, a hole becomes NULL, and on a repeated
 position the first cell wins.
+
+Every function takes the SQL text of an expression for the cells and returns
+SQL text. A wide table has hundreds of such columns, and one expression string
+per column is built far faster than the same tree of Column objects.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 CELL = StructType(
@@ -21,131 +24,108 @@ CELL = StructType(
 )
 CELLS = ArrayType(CELL)
 
-FLAT = ArrayType(StringType())
-NESTED = ArrayType(FLAT)
-
+_NO_ITEMS = "CAST(array() AS ARRAY<STRING>)"
+_NO_GROUPS = "CAST(array() AS ARRAY<ARRAY<STRING>>)"
 
-def _long(n: int) -> Column:
-    return F.lit(n).cast("bigint")
+# Lambda variables: they must not be the name of anything the cells' text uses.
+X, P, G, M, SLOT = "__cell", "__positions", "__group", "__m", "__slot"
 
 
-def m_of(cell: Column) -> Column:
-    return F.coalesce(cell["_m"], _long(1))
+def m_of(cell: str) -> str:
+    return f"coalesce({cell}._m, 1L)"
 
 
-def s_of(cell: Column) -> Column:
-    return F.coalesce(cell["_s"], _long(1))
+def s_of(cell: str) -> str:
+    return f"coalesce({cell}._s, 1L)"
 
 
-def bind(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once and hand it to ``body``.
+def bind(value: str, name: str, body: str) -> str:
+    """Evaluate ``value`` once and let ``body`` use it under ``name``.
 
     Spark does not hoist loop-invariant expressions out of a lambda, so a
     derived array used inside one would be rebuilt for every element.
     """
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
-def _spread(positions: Column, values: Column) -> Column:
-    """values laid out on slots 1..max(positions)."""
-    return F.transform(
-        F.sequence(_long(1), F.array_max(positions)),
-        lambda slot: F.get(values, (F.array_position(positions, slot) - 1).cast("int")),
-    )
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
 
 
-def _lay_out(cells: Column, position: Callable[[Column], Column]) -> Column:
+def _lay_out(cells: str, position: Callable[[str], str]) -> str:
     """Non-empty cells as a list over ``position``.
 
     A lone cell at position 1 needs no lambda at all, and positions that
     already run 1, 2, 3, ... need one pass; only holes, repeats and disorder
     take the general way.
     """
-    first = F.get(cells, F.lit(0))
-    return F.when(
-        (F.size(cells) == 1) & (position(first) == 1), F.array(first["_VALUE"])
-    ).otherwise(
-        bind(
-            F.transform(cells, position),
-            lambda positions: F.when(
-                positions == F.sequence(_long(1), F.size(positions).cast("bigint")),
-                cells["_VALUE"],
-            ).otherwise(_spread(positions, cells["_VALUE"])),
-        )
+    first = f"get({cells}, 0)"
+    slots = (
+        f"transform(sequence(1L, array_max({P})), "
+        f"{SLOT} -> get({cells}._VALUE, CAST(array_position({P}, {SLOT}) - 1 AS INT)))"
+    )
+    general = bind(
+        f"transform({cells}, {X} -> {position(X)})",
+        P,
+        f"CASE WHEN {P} = sequence(1L, CAST(size({P}) AS BIGINT)) THEN {cells}._VALUE "
+        f"ELSE {slots} END",
+    )
+    return (
+        f"CASE WHEN size({cells}) = 1 AND {position(first)} = 1 "
+        f"THEN array({first}._VALUE) ELSE {general} END"
     )
 
 
-def in_group(cells: Column, m_index: int) -> Column:
-    return F.filter(cells, lambda cell: m_of(cell) == _long(m_index))
+def in_group(cells: str, m_index: int | str) -> str:
+    return f"filter({cells}, {X} -> {m_of(X)} = {m_index})"
 
 
-def group_list(cells: Column, m_index: int) -> Column:
+def group_list(cells: str, m_index: int) -> str:
     """ARRAY<STRING> over s of one m group; tag absent -> NULL, group absent -> []."""
-    return F.when(
-        cells.isNotNull(),
-        bind(
-            in_group(cells, m_index),
-            lambda group: F.when(
-                F.size(group) == 0, F.array().cast(FLAT)
-            ).otherwise(_lay_out(group, s_of)),
-        ),
-    )
+    items = f"CASE WHEN size({G}) = 0 THEN {_NO_ITEMS} ELSE {_lay_out(G, s_of)} END"
+    return f"CASE WHEN {cells} IS NOT NULL THEN {bind(in_group(cells, m_index), G, items)} END"
 
 
-def value_list(cells: Column) -> Column:
+def value_list(cells: str) -> str:
     """ARRAY<STRING> over m."""
-    return F.when(
-        cells.isNotNull(),
-        F.when(F.size(cells) == 0, F.array().cast(FLAT)).otherwise(_lay_out(cells, m_of)),
+    return (
+        f"CASE WHEN {cells} IS NULL THEN NULL WHEN size({cells}) = 0 THEN {_NO_ITEMS} "
+        f"ELSE {_lay_out(cells, m_of)} END"
     )
 
 
-def nested_list(cells: Column) -> Column:
+def nested_list(cells: str) -> str:
     """ARRAY<ARRAY<STRING>>: m groups, each a list over its own s; no group -> [NULL]."""
-
-    def inner(slot: Column) -> Column:
-        return bind(
-            F.filter(cells, lambda cell: m_of(cell) == slot),
-            lambda group: F.when(
-                F.size(group) == 0, F.array(F.lit(None).cast("string"))
-            ).otherwise(_lay_out(group, s_of)),
-        )
-
-    return F.when(
-        cells.isNotNull(),
-        F.when(F.size(cells) == 0, F.array().cast(NESTED)).otherwise(
-            F.transform(
-                F.sequence(_long(1), F.array_max(F.transform(cells, m_of))), inner
-            )
-        ),
+    items = f"CASE WHEN size({G}) = 0 THEN array(CAST(NULL AS STRING)) ELSE {_lay_out(G, s_of)} END"
+    groups = (
+        f"transform(sequence(1L, array_max(transform({cells}, {X} -> {m_of(X)}))), "
+        f"{M} -> {bind(in_group(cells, M), G, items)})"
+    )
+    return (
+        f"CASE WHEN {cells} IS NULL THEN NULL WHEN size({cells}) = 0 THEN {_NO_GROUPS} "
+        f"ELSE {groups} END"
     )
 
 
-def group_scalar(cells: Column, m_index: int) -> Column:
+def group_scalar(cells: str, m_index: int) -> str:
     """First item of ``group_list``, without building the list."""
-    return F.get(
-        F.filter(cells, lambda cell: (m_of(cell) == _long(m_index)) & (s_of(cell) == 1)),
-        F.lit(0),
-    )["_VALUE"]
+    return f"get(filter({cells}, {X} -> {m_of(X)} = {m_index} AND {s_of(X)} = 1), 0)._VALUE"
 
 
-def value_scalar(cells: Column) -> Column:
+def value_scalar(cells: str) -> str:
     """First item of ``value_list``, without building the list."""
-    first = F.get(cells, F.lit(0))
-    return F.when(m_of(first) == 1, first["_VALUE"]).otherwise(
-        F.get(in_group(cells, 1), F.lit(0))["_VALUE"]
+    first = f"get({cells}, 0)"
+    return (
+        f"CASE WHEN {m_of(first)} = 1 THEN {first}._VALUE "
+        f"ELSE get({in_group(cells, 1)}, 0)._VALUE END"
     )
 
 
-def has_sub_values(cells: Column) -> Column:
-    return F.exists(cells, lambda cell: s_of(cell) > 1)
+def has_sub_values(cells: str) -> str:
+    return f"exists({cells}, {X} -> {s_of(X)} > 1)"
 
 
-def list_is_plural(cells: Column) -> Column:
+def list_is_plural(cells: str) -> str:
     """Would ``value_list`` hold more than one item? (m = 0 counts down to two.)"""
-    return F.array_max(F.transform(cells, m_of)) != 1
+    return f"array_max(transform({cells}, {X} -> {m_of(X)})) <> 1"
 
 
-def group_is_plural(cells: Column, m_index: int) -> Column:
+def group_is_plural(cells: str, m_index: int) -> str:
     """Would ``group_list`` hold more than one item?"""
-    return F.array_max(F.transform(in_group(cells, m_index), s_of)) != 1
+    return f"array_max(transform({in_group(cells, m_index)}, {X} -> {s_of(X)})) <> 1"

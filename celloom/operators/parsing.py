@@ -33,12 +33,12 @@ def corrupt_rows(df: DataFrame, rows: Iterable[LookupRow], xml_column: str = XML
 
 
 def wide_column(row: LookupRow, shape: str, parsed: str = PARSED) -> Column:
-    cells = F.col(parsed)[row.tag]
+    cells = f"{parsed}.`{row.tag}`"
     if row.m_index is not None:
         build = C.group_scalar if shape == SCALAR else C.group_list
-        return build(cells, row.m_index).alias(row.name)
+        return F.expr(build(cells, row.m_index)).alias(row.name)
     build = {SCALAR: C.value_scalar, LIST: C.value_list, NESTED: C.nested_list}[shape]
-    return build(cells).alias(row.name)
+    return F.expr(build(cells)).alias(row.name)
 
 
 def parse_wide(
@@ -60,8 +60,8 @@ def parse_wide(
     """
     rows = select_columns(list(lookup), columns)
     if shapes is None:
-        shapes = profile_shapes(df, rows, xml_column)
-    if not normalize:
+        shapes = profile_shapes(df, rows, xml_column, normalize)
+    elif not normalize:
         shapes = list_shapes(shapes)
     return with_cells(df, rows, xml_column).select(
         *[wide_column(r, shapes[r.name]) for r in rows], *keep

@@ -42,7 +42,7 @@ def sub_value_tags(df: DataFrame, rows: Sequence[LookupRow], parsed: str) -> set
     if not tags:
         return set()
     flags = df.agg(
-        *[F.bool_or(C.has_sub_values(F.col(parsed)[t])).alias(t) for t in tags]
+        *[F.expr(f"bool_or({C.has_sub_values(f'{parsed}.`{t}`')})").alias(t) for t in tags]
     ).first()
     return {t for t in tags if flags[t]}
 
@@ -86,58 +86,70 @@ def _marked_tags(xml: Column, attribute: str) -> Column:
     return F.array_distinct(found)
 
 
-def _traits(rows: Sequence[LookupRow]) -> dict[tuple, tuple[str, Column]]:
+def _traits(rows: Sequence[LookupRow], normalize: bool) -> dict[tuple, tuple[str, str]]:
     """Every fact that can lift a column's shape: key -> (attribute it needs, test)."""
     traits = {}
     for r in rows:
-        cells = F.col("_cells")[r.tag]
+        cells = f"_cells.`{r.tag}`"
         if r.m_index is None:
             traits["sub", r.tag] = ("s", C.has_sub_values(cells))
+        if not normalize:
+            continue
+        if r.m_index is None:
             traits["list", r.tag] = ("m", C.list_is_plural(cells))
         else:
             traits["group", r.tag, r.m_index] = ("s", C.group_is_plural(cells, r.m_index))
     return traits
 
 
-def _prove(df: DataFrame, traits: dict[tuple, tuple[str, Column]]) -> set[tuple]:
+def _prove(df: DataFrame, traits: dict[tuple, tuple[str, str]]) -> set[tuple]:
     """Which of the traits hold in some row. Parses the traits' tags only."""
     keys = list(traits)
     schema = cell_schema(key[1] for key in keys)
     flags = (
         df.select(parse_xml("_xml", schema).alias("_cells"))
-        .agg(*[F.bool_or(traits[key][1]).alias(str(i)) for i, key in enumerate(keys)])
+        .agg(*[F.expr(f"bool_or({traits[key][1]})").alias(str(i)) for i, key in enumerate(keys)])
         .first()
     )
     return {key for i, key in enumerate(keys) if flags[i]}
 
 
 def profile_shapes(
-    df: DataFrame, rows: Sequence[LookupRow], xml_column: str = "XMLRECORD"
+    df: DataFrame,
+    rows: Sequence[LookupRow],
+    xml_column: str = "XMLRECORD",
+    normalize: bool = True,
 ) -> Shapes:
     """The exact shape of every column over the whole batch.
 
     Once a trait is seen it holds for the batch, so a few rows settle most of
     them; what they do not settle is parsed from every row that could show it.
+    Without ``normalize`` only sub-values are looked for: nothing is a scalar.
     """
     text = df.select(F.col(xml_column).alias("_xml"))
-    traits = _traits(rows)
-    relevant = {(attribute, key[1]) for key, (attribute, _) in traits.items()}
-    known_tags = F.array(*[F.lit(t) for t in dict.fromkeys(r.tag for r in rows)])
-
-    def marks(attribute: str) -> Column:
-        return F.transform(
-            F.array_intersect(_marked_tags(F.col("_xml"), attribute), known_tags),
-            lambda tag: F.struct(F.lit(attribute).alias("attribute"), tag.alias("tag")),
-        )
-
+    traits = _traits(rows, normalize)
+    wanted: dict[str, list[str]] = {}
+    for key, (attribute, _) in traits.items():
+        tags = wanted.setdefault(attribute, [])
+        if key[1] not in tags:
+            tags.append(key[1])
+    if not traits:
+        return {r.name: LIST for r in rows}
+
+    def mapped(attribute: str) -> Column:
+        tags = F.array(*[F.lit(t) for t in wanted[attribute]])
+        return F.array_intersect(_marked_tags(F.col("_xml"), attribute), tags).alias(attribute)
+
+    # records of one kind mark the same tags: tell them apart before exploding
+    patterns = text.select(*[mapped(a) for a in wanted]).distinct()
     marked = {
         (r["attribute"], r["tag"])
-        for r in text.select(F.explode(F.concat(marks("s"), marks("m"))).alias("mark"))
-        .select("mark.*")
+        for r in patterns.unpivot([], list(wanted), "attribute", "tags")
+        .select("attribute", F.explode("tags").alias("tag"))
         .distinct()
         .collect()  # at most two per mapped tag
     }
-    open_traits = {k: t for k, t in traits.items() if (t[0], k[1]) in marked & relevant}
+    open_traits = {k: t for k, t in traits.items() if (t[0], k[1]) in marked}
 
     proven: set[tuple] = set()
     if open_traits:
@@ -164,4 +176,5 @@ def profile_shapes(
             return NESTED
         return LIST if ("list", r.tag) in proven else SCALAR
 
-    return {r.name: shape(r) for r in rows}
+    found = {r.name: shape(r) for r in rows}
+    return found if normalize else list_shapes(found)
