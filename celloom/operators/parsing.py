@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from celloom.functions import cells as C
 from celloom.functions.xml import parse_xml, xml_schema
@@ -32,13 +32,14 @@ def corrupt_rows(df: DataFrame, rows: Iterable[LookupRow], xml_column: str = XML
     return df.where(parsed["_corrupt"].isNotNull())
 
 
-def wide_column(row: LookupRow, shape: str, parsed: str = PARSED) -> Column:
+def wide_column(row: LookupRow, shape: str, parsed: str = PARSED) -> str:
+    """The SQL text of one wide column, named."""
     cells = f"{parsed}.`{row.tag}`"
     if row.m_index is not None:
         build = C.group_scalar if shape == SCALAR else C.group_list
-        return F.expr(build(cells, row.m_index)).alias(row.name)
+        return f"{build(cells, row.m_index)} AS `{row.name}`"
     build = {SCALAR: C.value_scalar, LIST: C.value_list, NESTED: C.nested_list}[shape]
-    return F.expr(build(cells)).alias(row.name)
+    return f"{build(cells)} AS `{row.name}`"
 
 
 def parse_wide(
@@ -63,6 +64,6 @@ def parse_wide(
         shapes = profile_shapes(df, rows, xml_column, normalize)
     elif not normalize:
         shapes = list_shapes(shapes)
-    return with_cells(df, rows, xml_column).select(
-        *[wide_column(r, shapes[r.name]) for r in rows], *keep
+    return with_cells(df, rows, xml_column).selectExpr(
+        *[wide_column(r, shapes[r.name]) for r in rows], *[f"`{c}`" for c in keep]
     )
