@@ -55,6 +55,7 @@ class IngestResult:
     source_rows: int
     landed: str | None
     commit: Commit | None
+    target_rows: int | None = None
     error: str | None = None
 
 
@@ -75,11 +76,13 @@ def ingest(
     today: date | None = None,
     columns: int | Iterable[str] | None = None,
     max_records_per_file: int = 0,
+    count_target: bool = True,
 ) -> IngestResult:
     """One dataset, once. An empty batch lands nothing and leaves the table alone.
 
     The batch is landed first and only read back from there, so the source is
-    queried once however often the landed rows are scanned.
+    queried once however often the landed rows are scanned. ``count_target``
+    counts the table after a merge, for which its key column is read.
     """
     batch = records(dataset, mode, resolve_window(mode, window, today))
     if batch.isEmpty():
@@ -94,8 +97,11 @@ def ingest(
     table = WideTable(spark, target_path(dataset, table_root), dataset.merge_key)
     commit = table.load(wide, resolve_write_mode(mode, window))
     rows = landed.count()
-    log.info("%s: %d source rows, generation %d", dataset.name, rows, commit.gen)
-    return IngestResult(dataset.name, rows, path, commit)
+    total = commit.live_rows
+    if total is None and count_target:
+        total = table.read().count()
+    log.info("%s: %d source rows, %s target rows", dataset.name, rows, total)
+    return IngestResult(dataset.name, rows, path, commit, total)
 
 
 def ingest_all(
@@ -117,7 +123,7 @@ def ingest_all(
             )
         except Exception as e:
             log.exception("%s failed", d.name)
-            results.append(IngestResult(d.name, 0, None, None, str(e)))
+            results.append(IngestResult(d.name, 0, None, None, error=str(e)))
     return results
 
 

@@ -44,7 +44,7 @@ def test_history_then_daily(spark, folder):
     assert path_exists(spark, f"{folder}/raw/account_raw/load_id=L1")
     second = _records(spark, [(2, "20260103", ["x", "y"]), (4, "20260103", "z"), (1, "20260104", "no")])
     done = _run(spark, folder, second, DAILY, load_id="L2", today=date(2026, 1, 3))
-    assert (done.source_rows, done.commit.operation) == (2, "merge")
+    assert (done.source_rows, done.target_rows, done.commit.operation) == (2, 4, "merge")
     assert _rows(_table(spark, folder).read()) == [
         ("1", "20260101", ["a"]),
         ("2", "20260103", ["x", "y"]),
