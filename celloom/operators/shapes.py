@@ -11,6 +11,7 @@ where they occur.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType
@@ -25,8 +26,13 @@ Shapes = dict[str, str]
 
 # Start tags with an m (s) attribute other than a plain "1". The name must
 # follow white space, and no raw "<" can occur in a start tag, so every such
-# tag is found; text that merely looks like one only adds a candidate.
-_ATTRIBUTE = r"""<([^\s<>/]+)(?=\s)[^<]*?\s{0}\s*=\s*(?!"1"|'1')"""
+# tag is found; text that merely looks like one only adds a candidate. The
+# parser takes names in either case unless the session says otherwise.
+_ATTRIBUTE = r"""<([^\s<>/]+)(?=\s)[^<]*?\s(?i:{0})\s*=\s*(?!"1"|'1')"""
+
+# The parser also takes positions from child elements <_m> and <_s>, and a
+# document type may define text of its own: such records are always parsed.
+_ELSEWHERE = ("<_", "<!DOCTYPE")
 
 PILOT_ROWS = 200
 
@@ -82,10 +88,15 @@ def normalize_arrays(df: DataFrame) -> DataFrame:
 
 
 def _marked_tags(xml: Column, attribute: str) -> Column:
-    """Most records have no s at all, which a plain search tells in less time."""
+    """In lower case. Most records have no s at all, which a plain search tells sooner."""
     found = F.regexp_extract_all(xml, F.lit(_ATTRIBUTE.format(attribute)), F.lit(1))
-    present = xml.rlike(rf"\s{attribute}\s*=")
-    return F.when(present, F.array_distinct(found)).otherwise(F.array().cast("array<string>"))
+    tags = F.transform(F.array_distinct(found), F.lower)
+    present = xml.rlike(rf"\s(?i:{attribute})\s*=")
+    return F.when(present, tags).otherwise(F.array().cast("array<string>"))
+
+
+def _marked_elsewhere(xml: Column) -> Column:
+    return reduce(Column.__or__, [xml.contains(text) for text in _ELSEWHERE])
 
 
 def _traits(rows: Sequence[LookupRow], normalize: bool) -> dict[tuple, tuple[str, str]]:
@@ -130,11 +141,9 @@ def profile_shapes(
     """
     text = df.select(F.col(xml_column).alias("_xml"))
     traits = _traits(rows, normalize)
-    wanted: dict[str, list[str]] = {}
+    wanted: dict[str, dict[str, None]] = {}
     for key, (attribute, _) in traits.items():
-        tags = wanted.setdefault(attribute, [])
-        if key[1] not in tags:
-            tags.append(key[1])
+        wanted.setdefault(attribute, {})[key[1].lower()] = None
     if not traits:
         return {r.name: LIST for r in rows}
 
@@ -142,27 +151,33 @@ def profile_shapes(
         tags = F.array(*[F.lit(t) for t in wanted[attribute]])
         return F.array_intersect(_marked_tags(F.col("_xml"), attribute), tags).alias(attribute)
 
+    elsewhere = _marked_elsewhere(F.col("_xml"))
+    unclear = F.when(elsewhere, F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+
     # records of one kind mark the same tags: tell them apart before exploding
-    patterns = text.select(*[mapped(a) for a in wanted]).distinct()
+    patterns = text.select(*[mapped(a) for a in wanted], unclear.alias("any")).distinct()
     marked = {
         (r["attribute"], r["tag"])
-        for r in patterns.unpivot([], list(wanted), "attribute", "tags")
+        for r in patterns.unpivot([], [*wanted, "any"], "attribute", "tags")
         .select("attribute", F.explode("tags").alias("tag"))
         .distinct()
-        .collect()  # at most two per mapped tag
+        .collect()  # at most two per mapped tag, and one
     }
-    open_traits = {k: t for k, t in traits.items() if (t[0], k[1]) in marked}
+    open_traits = {k: t for k, t in traits.items() if (t[0], k[1].lower()) in marked}
 
     proven: set[tuple] = set()
+    if ("any", "") in marked:
+        proven |= _prove(text.where(elsewhere), traits)
+        open_traits = {k: t for k, t in open_traits.items() if k not in proven}
     if open_traits:
         pilot = text.limit(PILOT_ROWS)
-        proven = _prove(pilot, open_traits)
+        proven |= _prove(pilot, open_traits)
         settled = proven | {("list", k[1]) for k in proven if k[0] == "sub"}
         open_traits = {k: t for k, t in open_traits.items() if k not in settled}
     if open_traits:
 
         def shows(attribute: str) -> Column:
-            tags = sorted({k[1] for k, t in open_traits.items() if t[0] == attribute})
+            tags = sorted({k[1].lower() for k, t in open_traits.items() if t[0] == attribute})
             if not tags:
                 return F.lit(False)
             return F.arrays_overlap(

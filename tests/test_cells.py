@@ -136,7 +136,9 @@ def _random_record(rng, tags):
             attributes = []
             if rng.random() < 0.7:
                 m = rng.choice([0, 1, 1, 2, 3, 7]) if plural else 1
-                attributes.append(rng.choice(['m="{}"', "m='{}'", 'm = "{}"', '\n m="0{}"']).format(m))
+                attributes.append(
+                    rng.choice(['m="{}"', "m='{}'", 'm = "{}"', '\n m="0{}"', 'M="{}"']).format(m)
+                )
             if rng.random() < 0.5:
                 s = rng.choice([0, 1, 2, 3]) if sub else 1
                 attributes.append(f's="{s}"')
@@ -144,7 +146,8 @@ def _random_record(rng, tags):
                 attributes.append(rng.choice(['x="a>b"', 'note=" m = 5 "', 'ms="2"']))
             rng.shuffle(attributes)
             value = rng.choice(["v", "", " m=3 s='2' ", "<!-- <c1 m='9'> -->", "<![CDATA[<c2 s='8'>]]>"])
-            out.append(f"<{tag}{''.join(' ' + a for a in attributes)}>{value}{rng.randint(0, 9)}</{tag}>")
+            name = tag.upper() if rng.random() < 0.1 else tag
+            out.append(f"<{name}{''.join(' ' + a for a in attributes)}>{value}{rng.randint(0, 9)}</{name}>")
     rng.shuffle(out)
     return "<row>" + "".join(out) + "</row>"
 
@@ -190,6 +193,27 @@ def test_attributes_from_a_document_type_do_not_count(spark):
     assert cells is None or [x["_m"] for x in cells] == [None]
 
 
+@pytest.mark.parametrize(
+    ("xml", "want"),
+    [
+        ("<row><C1 M='2'>x</C1></row>", "array<string>"),
+        ("<row><c1>x<_m>2</_m></c1></row>", "array<string>"),
+        ("<row><c1><_S>2</_S></c1></row>", "array<array<string>>"),
+        ("<row><c1 m='&#50;'>x</c1></row>", "array<string>"),
+        ("<row><g><c1 m='2'>x</c1></g><c1>y</c1></row>", "string"),
+        ("<row><c1 n:m='2'>x</c1></row>", "string"),
+        ("<row><!-- <c1 m='2'>x</c1> --><c1 m='01'>y</c1></row>", "string"),
+    ],
+)
+def test_positions_written_in_other_ways(spark, xml, want):
+    """Seen in one record among many, behind the pilot."""
+    plain = [(str(i), "<row><c1>a</c1></row>") for i in range(500)]
+    df = spark.createDataFrame([*plain, ("x", xml)], "recid string, XMLRECORD string")
+    rows = [LookupRow("c1", None, "n")]
+    assert dict(parse_wide(df, rows).dtypes)["n"] == want
+    assert _plain_pass(df, rows)[1].dtypes == parse_wide(df, rows).dtypes
+
+
 def test_normalize_without_arrays(spark):
     df = spark.range(1)
     assert S.normalize_arrays(df) is df
