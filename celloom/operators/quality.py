@@ -66,10 +66,14 @@ _LINE = "%s %s: oracle=%d bronze=%d (missing %d)"
 _MORE = "... and %d more (see task log)"
 
 
-def gap_lines(found: DataFrame, dataset: str) -> DataFrame:
-    """(dataset, business_date, line): the report text of each gap."""
+def gap_lines(found: DataFrame, dataset: str, turn: int = 0) -> DataFrame:
+    """(turn, dataset, business_date, line): the report text of each gap.
+
+    ``turn`` is the dataset's place in the check.
+    """
     shown = F.coalesce(F.nullif(F.col("business_date"), F.lit("")), F.lit("(no date)"))
     return found.select(
+        F.lit(turn).alias("turn"),
         F.lit(dataset).alias("dataset"),
         "business_date",
         F.format_string(
@@ -84,11 +88,11 @@ def gap_lines(found: DataFrame, dataset: str) -> DataFrame:
 
 
 def report(lines: DataFrame, limit: int = REPORT_LINES) -> DataFrame:
-    """(position, line): the first lines in date order, and how many more there are."""
-    head = lines.orderBy("dataset", F.col("business_date").asc_nulls_last()).limit(limit)
+    """(position, line): the first lines by dataset and date, and how many more there are."""
+    head = lines.orderBy("turn", F.col("business_date").asc_nulls_last()).limit(limit)
     shown = head.select(
         F.struct(
-            F.col("dataset").alias("d"),
+            F.col("turn").alias("t"),
             F.col("business_date").isNull().alias("n"),
             F.col("business_date").alias("b"),
             F.col("line").alias("line"),

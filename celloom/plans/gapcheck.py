@@ -34,9 +34,9 @@ def check_gaps(
 ) -> GapCheck:
     """Both sides counted per business date, within the window if there is one."""
     summaries, lines = [], []
-    for d in datasets:
+    for turn, d in enumerate(datasets):
         source = source_counts(d, window)
         target = count_by_date(target_rows(d), d.date_column, window)
         summaries.append(gap_summary(source, target).select(F.lit(d.name).alias("dataset"), "*"))
-        lines.append(gap_lines(gaps(source, target), d.name))
+        lines.append(gap_lines(gaps(source, target), d.name, turn))
     return GapCheck(reduce(DataFrame.unionByName, summaries), reduce(DataFrame.unionByName, lines))

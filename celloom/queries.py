@@ -63,14 +63,20 @@ def _line_records(spark: SparkSession, folder: str) -> DataFrame:
     return X.line_records(_spread(_table(spark, folder, "lineitem")))
 
 
+def _landed(records: DataFrame) -> DataFrame:
+    """Records landed first, as an ingest does: finding shapes reads them more than once."""
+    path = new_folder(records.sparkSession, "records")
+    land_raw(records, path)
+    return read_landed(records.sparkSession, path)
+
+
 def _line_rows(*names: str):
     return [r for r in X.LINE_LOOKUP if r.name in names]
 
 
 def _lines(spark: SparkSession, folder: str, *names: str, normalize: bool = False) -> DataFrame:
-    return parse_wide(
-        _line_records(spark, folder), X.LINE_LOOKUP, columns=list(names), normalize=normalize
-    )
+    records = _landed(_line_records(spark, folder))
+    return parse_wide(records, X.LINE_LOOKUP, columns=list(names), normalize=normalize)
 
 
 def joined(column: Column | str) -> Column:
@@ -108,12 +114,12 @@ def xml_parse(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def wide_parse(spark: SparkSession, folder: str) -> DataFrame:
-    wide = parse_wide(_order_records(spark, folder), X.ORDER_LOOKUP)
+    wide = parse_wide(_landed(_order_records(spark, folder)), X.ORDER_LOOKUP)
     return wide.withColumn("priority", joined("priority"))
 
 
 def column_subset(spark: SparkSession, folder: str) -> DataFrame:
-    records = _order_records(spark, folder)
+    records = _landed(_order_records(spark, folder))
     named = parse_wide(records, X.ORDER_LOOKUP, columns=["order_date", "status"])
     first = parse_wide(records, X.ORDER_LOOKUP, columns=1)
     assert named.columns == ["status", "order_date", "recid"]
@@ -203,13 +209,13 @@ def count_by_date(spark: SparkSession, folder: str) -> DataFrame:
 def _with_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Orders that have lines: what a target short of some rows might hold."""
     keys = _table(spark, folder, "lineitem").select("l_orderkey").distinct()
-    orders = _orders(spark, folder)
+    orders = _spread(_orders(spark, folder))
     return orders.join(keys, orders.o_orderkey == keys.l_orderkey, "left_semi")
 
 
 def _gap_check(spark: SparkSession, folder: str, window=None) -> GapCheck:
-    records = _order_records(spark, folder)
-    target = parse_wide(X.order_records(_with_lines(spark, folder)), X.ORDER_LOOKUP)
+    records = _landed(_order_records(spark, folder))
+    target = parse_wide(_landed(X.order_records(_with_lines(spark, folder))), X.ORDER_LOOKUP)
     return check_gaps(
         [ORDERS],
         lambda d, w: Q.count_xml_by_date(records, d.date_tag, w),
@@ -351,7 +357,7 @@ def ingest_history(spark: SparkSession, folder: str) -> DataFrame:
 def windowed_history_merge(spark: SparkSession, folder: str) -> DataFrame:
     """All orders loaded, then one year of changed orders: the other years stay."""
     root = new_folder(spark, "window")
-    orders = _orders(spark, folder)
+    orders = _spread(_orders(spark, folder))
     status = F.col("o_orderstatus")
     changed = orders.withColumn("o_orderstatus", F.when(status != "P", F.lower(status)).otherwise(status))
     for df, window, load_id in (

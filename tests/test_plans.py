@@ -137,6 +137,18 @@ def test_long_report(spark, n, want):
         assert lines[-1]["line"] == f"... and {n - 50} more (see task log)"
 
 
+def test_report_keeps_the_order_of_datasets(spark):
+    check = check_gaps(
+        [DATASETS["loan"], DATASETS["account"]],
+        lambda d, w: _counts(spark, [("20260102", 2), ("20260101", 2)]),
+        lambda d: spark.createDataFrame([], "date_last_update string, disbursement_date string"),
+    )
+    lines = [r["line"] for r in check.report().orderBy("position").collect()]
+    assert [line.split(":")[0] for line in lines] == [
+        "loan 20260101", "loan 20260102", "account 20260101", "account 20260102",
+    ]
+
+
 def test_check_over_datasets(spark):
     datasets = [DATASETS["account"], DATASETS["loan"]]
     target = spark.createDataFrame([("20260101", "20260101")], "date_last_update string, disbursement_date string")
