@@ -196,7 +196,7 @@ EXPECTED: dict[str, str] = {
                     ELSE '[[' || replace(o_orderpriority, '-', ',') || ']]' END AS c1,
                CASE WHEN o_orderstatus = 'P' THEN '[[~]]' ELSE '[[' || o_orderpriority || ']]' END AS c2
         FROM orders""",
-    "reconcile_wrap_batch": """
+    "reconcile_wrap_df": """
         SELECT CAST(o_orderkey AS VARCHAR) AS recid,
                CASE WHEN o_orderstatus = 'P' THEN 'null' ELSE '[[' || o_orderpriority || ']]' END AS c0,
                CASE WHEN o_orderstatus = 'P' THEN 'null'

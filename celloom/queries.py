@@ -595,7 +595,7 @@ QUERIES: dict[str, Query] = {
     "windowed_history_merge": windowed_history_merge,
     "reconcile_add_missing": reconcile_add_missing,
     "reconcile_widen_table": reconcile_widen_table,
-    "reconcile_wrap_batch": reconcile_wrap_batch,
+    "reconcile_wrap_df": reconcile_wrap_batch,
     "file_stats": file_stats,
     "conditional_aggs": conditional_aggs,
     "latest_current": latest_current,

@@ -217,3 +217,23 @@ def test_positions_written_in_other_ways(spark, xml, want):
 def test_normalize_without_arrays(spark):
     df = spark.range(1)
     assert S.normalize_arrays(df) is df
+
+
+@pytest.mark.parametrize("names", [["dense_list"], ["nested_values"], ["part", "returned_part"], None])
+def test_each_record_is_parsed_once(spark, data, names):
+    """With the chosen tags only, and with no column of the file read but two."""
+    from celloom import fixtures as X
+    from celloom.model import select_columns
+    from celloom.sources.landing import land_raw, read_landed
+    from celloom.workspace import new_folder
+
+    path = new_folder(spark, "once")
+    land_raw(X.line_records(spark.read.parquet(f"{data}/lineitem.parquet")), path)
+    rows = select_columns(X.LINE_LOOKUP, names)
+    shapes = {r.name: S.LIST if r.m_index is not None else S.NESTED for r in rows}
+    plan = parse_wide(read_landed(spark, path), rows, shapes=shapes)._jdf.queryExecution()
+    physical = plan.executedPlan().toString()
+    assert physical.count("from_xml(") == 1
+    assert "Exchange" not in physical
+    assert "ReadSchema: struct<recid:string,XMLRECORD:string>" in physical
+    assert physical.count("StructField(c") == len({r.tag for r in rows})
