@@ -29,7 +29,8 @@ def align_counts(source: DataFrame, target: DataFrame) -> DataFrame:
     """(business_date, source_rows, target_rows) of every date on either side; absent is 0.
 
     A null-safe full outer join of two count tables, written as a union and
-    one grouping: a NULL date groups by itself, and one shuffle does.
+    one grouping: a NULL date groups by itself, and counts already grouped by
+    date are not shuffled again.
     """
     zero = F.lit(0).cast("bigint")
     both = source.select(
