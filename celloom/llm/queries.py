@@ -6,14 +6,26 @@ from pyspark.sql import DataFrame, SparkSession
 
 from celloom.llm.common import table
 from celloom.llm.jaccard import near_duplicates
+from celloom.llm.quality import quality_rules
+from celloom.llm.suffix import repeated_passages
 
 
 def op5_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
 
+def op7_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_passages(table(spark, folder, "documents")).drop("spans")
+
+
+def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+    "op7_suffix_array_dedup": op7_suffix_array_dedup,
+    "op10_quality_rules": op10_quality_rules,
 }
 
 SQL: dict[str, str] = {}
