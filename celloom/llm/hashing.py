@@ -75,7 +75,7 @@ def range_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
 
 
 class Words(NamedTuple):
-    """Words of a group of texts: text_at[k]:text_at[k + 1] are those of text first + k."""
+    """Words of a group of texts: bytes, their running sums, and each word's place and hash."""
 
     data: np.ndarray
     sums: np.ndarray
@@ -109,13 +109,12 @@ def _pieces(text: bytes) -> Iterator[bytes]:
 def grouped_words(
     texts: Iterable[bytes], separators: np.ndarray = SPACES, values: np.ndarray = PLAIN
 ) -> Iterator[tuple[int, Words, np.ndarray]]:
-    """Words by groups of texts: the first text's index, the words, and where each text's begin.
+    """Words by groups of texts: the first text's index, the words, and where each text's begin and end.
 
-    Every text is in one group, a long one in a group of its own whose words
-    come from pieces (then data, sums, starts and ends are of the last piece).
+    A long text comes alone and in pieces, each with the text's index.
     """
     group: list[bytes] = []
-    size, first, index = 0, 0, -1
+    size, first = 0, 0
 
     def flush() -> tuple[int, Words, np.ndarray]:
         words = _words(b"\n".join(group), separators, values)
@@ -126,9 +125,9 @@ def grouped_words(
         if len(text) > GROUP_BYTES:
             if group:
                 yield flush()
-            parts = [_words(p, separators, values) for p in _pieces(text)]
-            hashes = np.concatenate([p.hashes for p in parts])
-            yield index, parts[-1]._replace(hashes=hashes), np.array([0, len(hashes)])
+            for piece in _pieces(text):
+                words = _words(piece, separators, values)
+                yield index, words, np.array([0, len(words.starts)])
             group, size, first = [], 0, index + 1
             continue
         group.append(text)
@@ -142,9 +141,19 @@ def grouped_words(
 
 def word_hashes(texts: Iterable[bytes], separators: np.ndarray = SPACES, values: np.ndarray = PLAIN) -> Iterator[np.ndarray]:
     """The word hashes of each text in turn."""
-    for _, words, at in grouped_words(texts, separators, values):
+    held, index = [], 0
+    for first, words, at in grouped_words(texts, separators, values):
+        if held and first != index:
+            yield np.concatenate(held)
+            held = []
+        index = first
+        if len(at) == 2:
+            held.append(words.hashes)
+            continue
         for k in range(len(at) - 1):
             yield words.hashes[at[k] : at[k + 1]]
+    if held:
+        yield np.concatenate(held)
 
 
 def windows(hashes: np.ndarray, width: int) -> np.ndarray:

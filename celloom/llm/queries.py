@@ -6,25 +6,43 @@ from pyspark.sql import DataFrame, SparkSession
 
 from celloom.llm.common import table
 from celloom.llm.jaccard import near_duplicates
+from celloom.llm.langid import language_id
 from celloom.llm.quality import quality_rules
+from celloom.llm.secrets import secret_scan
 from celloom.llm.suffix import repeated_passages
+from celloom.llm.toxicity import toxicity
+
+
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
 def op5_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
 
+def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id(table(spark, folder, "documents"))
+
+
 def op7_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return repeated_passages(table(spark, folder, "documents")).drop("spans")
 
 
+def op9_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan(table(spark, folder, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules(table(spark, folder, "documents"))
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+    "op6_language_id": op6_language_id,
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
+    "op9_secret_scans": op9_secret_scans,
     "op10_quality_rules": op10_quality_rules,
 }
 
