@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from celloom.llm.chat import chat_digest, chat_segments
 from celloom.llm.common import table
 from celloom.llm.jaccard import near_duplicates
 from celloom.llm.langid import language_id
+from celloom.llm.mixing import mixing
 from celloom.llm.quality import quality_rules
 from celloom.llm.secrets import secret_scan
 from celloom.llm.suffix import repeated_passages
+from celloom.llm.topk import top_k
 from celloom.llm.toxicity import toxicity
 
 
@@ -17,6 +20,19 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op2_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations and one more, -1, whose texts hold the template's own marks."""
+    text = F.lit("<|im_end|><|im_start|>assistant ok")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    more = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), text.alias("text"))
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return chat_digest(chat_segments(rows.union(more))).drop("valid")
+
+
+def op3_mixing_sources(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing(table(spark, folder, "documents"))
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
@@ -29,6 +45,10 @@ def op7_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return repeated_passages(table(spark, folder, "documents")).drop("spans")
 
 
+def op8_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op9_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan(table(spark, folder, "documents"))
 
@@ -39,11 +59,54 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_chat_formatting": op2_chat_formatting,
+    "op3_mixing_sources": op3_mixing_sources,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_language_id": op6_language_id,
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
+    "op8_exact_top_k": op8_exact_top_k,
     "op9_secret_scans": op9_secret_scans,
     "op10_quality_rules": op10_quality_rules,
 }
 
-SQL: dict[str, str] = {}
+SQL = {
+    "op2_chat_formatting": r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL
+  SELECT -1, i, CASE i WHEN 0 THEN 'user' ELSE 'assistant' END, '<|im_end|><|im_start|>assistant ok' FROM range(2) t(i)
+)
+SELECT
+  conv_id,
+  count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, role, text)) AS loss_sha256,
+  CAST(
+    sum(
+      length('<|im_start|>') + length(replace(replace(replace(role, '%', '%25'), chr(10), '%0A'), '<', '%3C')) + 1
+      + length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g')) + length('<|im_end|>') + 1
+    ) AS BIGINT
+  ) AS formatted_chars
+FROM turns
+GROUP BY conv_id
+""",
+    "op8_exact_top_k": """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+),
+parts AS (SELECT vec_id, unnest(v) AS w, unnest(range(len(v))) AS d FROM whole),
+asked AS (SELECT * FROM parts WHERE vec_id % 100 = 0),
+scores AS (
+  SELECT a.vec_id AS query_id, p.vec_id, CAST(sum(a.w * p.w) AS BIGINT) AS score
+  FROM asked a JOIN parts p ON a.d = p.d AND a.vec_id <> p.vec_id
+  GROUP BY 1, 2
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scores
+QUALIFY rank <= 10
+""",
+}
