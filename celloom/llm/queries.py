@@ -11,6 +11,7 @@ from celloom.llm.langid import language_id
 from celloom.llm.mixing import mixing
 from celloom.llm.quality import quality_rules
 from celloom.llm.secrets import secret_scan
+from celloom.llm.sentencepiece import round_trip
 from celloom.llm.suffix import repeated_passages
 from celloom.llm.topk import top_k
 from celloom.llm.toxicity import toxicity
@@ -33,6 +34,10 @@ def op3_mixing_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing(table(spark, folder, "documents"))
 
 
+def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return round_trip(table(spark, folder, "documents"))
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
@@ -61,6 +66,7 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_chat_formatting": op2_chat_formatting,
     "op3_mixing_sources": op3_mixing_sources,
+    "op4_sentencepiece": op4_sentencepiece,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_language_id": op6_language_id,
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
