@@ -66,6 +66,10 @@ EXPECTED: dict[str, str] = {
     "column_subset": f"""
         SELECT o_orderstatus AS status, {_DAY} AS order_date, CAST(o_orderkey AS VARCHAR) AS recid
         FROM orders""",
+    "first_columns": f"""
+        SELECT CAST(o_custkey AS VARCHAR) AS customer, o_orderstatus AS status, {_PRICE} AS total_price,
+               CAST(o_orderkey AS VARCHAR) AS recid
+        FROM orders""",
     "mv_fixed_group": f"""
         WITH {_LINE}
         SELECT recid, CAST(part AS VARCHAR) AS part, CAST(supplier AS VARCHAR) AS supplier,
@@ -143,12 +147,31 @@ EXPECTED: dict[str, str] = {
         SELECT position, line FROM gap WHERE position <= 50
         UNION ALL
         SELECT 51, '... and ' || (count(*) - 50) || ' more (see task log)' FROM gap HAVING count(*) > 50""",
+    "gap_report_datasets": """
+        WITH counted AS (
+            SELECT 0 AS turn, 'lines' AS dataset, strftime(l_shipdate, '%Y%m%d') AS day,
+                   count(*) AS source_rows, count(*) FILTER (WHERE l_returnflag <> 'R') AS target_rows
+            FROM lineitem GROUP BY 3
+            UNION ALL
+            SELECT 1, 'orders', strftime(o_orderdate, '%Y%m%d'), count(*),
+                   count(*) FILTER (WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem))
+            FROM orders GROUP BY 3
+        ),
+        gap AS (
+            SELECT row_number() OVER (ORDER BY turn, day) AS position,
+                   dataset || ' ' || day || ': oracle=' || source_rows || ' bronze=' || target_rows ||
+                   ' (missing ' || (source_rows - target_rows) || ')' AS line
+            FROM counted WHERE day BETWEEN '19960101' AND '19960115' AND source_rows > target_rows
+        )
+        SELECT position, line FROM gap WHERE position <= 50
+        UNION ALL
+        SELECT 51, '... and ' || (count(*) - 50) || ' more (see task log)' FROM gap HAVING count(*) > 50""",
     "raw_landing": f"""
         SELECT recid, load_id, business_date
         FROM ({_DATED}), (VALUES ('20260101T000000'), ('20260102T000000')) loads(load_id)""",
     "hash_split": """
-        SELECT CAST(o_orderkey AS VARCHAR) AS recid, CAST(0 AS INTEGER) AS bucket_spread,
-               count(*) AS row_count
+        SELECT CAST(o_orderkey AS VARCHAR) AS recid, count(*) AS row_count,
+               CAST(16 AS BIGINT) AS filled_buckets
         FROM orders GROUP BY o_orderkey""",
     "merge_upsert": f"""
         WITH shipped AS (
@@ -180,6 +203,11 @@ EXPECTED: dict[str, str] = {
                     ELSE o_orderstatus END AS status,
                {_DAY} AS order_date, CAST(o_custkey AS VARCHAR) AS customer
         FROM orders""",
+    "daily_merge": f"""
+        SELECT CAST(o_orderkey AS VARCHAR) AS recid,
+               CASE WHEN {_DAY} = '19960305' THEN lower(o_orderstatus) ELSE o_orderstatus END AS status,
+               {_DAY} AS order_date, CAST(o_custkey AS VARCHAR) AS customer
+        FROM orders""",
     "reconcile_add_missing": f"""
         SELECT CAST(o_orderkey AS VARCHAR) AS recid,
                CASE WHEN o_orderstatus = 'F' THEN {_TEXT} END AS old_text,
@@ -204,7 +232,7 @@ EXPECTED: dict[str, str] = {
                CASE WHEN o_orderstatus = 'P' THEN '[[]]' ELSE '[[' || o_orderpriority || ']]' END AS c2
         FROM orders""",
     "file_stats": """
-        SELECT CAST(5 AS BIGINT) AS data_files, CAST(0 AS BIGINT) AS delete_files,
+        SELECT CAST(0 AS BIGINT) AS files_missed, CAST(0 AS BIGINT) AS delete_files,
                count(*) + count(*) FILTER (WHERE o_orderstatus = 'F') AS stored_records,
                count(*) AS live_rows, true AS has_bytes
         FROM orders""",
@@ -215,26 +243,11 @@ EXPECTED: dict[str, str] = {
                CAST(sum(CAST(trunc(l_quantity) AS BIGINT)) FILTER (WHERE l_returnflag <> 'R') AS BIGINT)
                    AS stored_records
         FROM lineitem""",
-    "latest_current": """
-        SELECT o_orderkey AS snapshot_id FROM orders WHERE o_orderstatus <> 'P'
-        ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 1""",
-    "expirable_generations": """
-        SELECT o_orderkey AS snapshot_id FROM orders
-        WHERE o_orderdate < TIMESTAMP '1998-01-01' AND o_orderkey NOT IN (
-            SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P'
-            ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 1)""",
-    "orphan_report": """
-        SELECT 'part/' || o_orderkey AS file_path FROM orders
-        WHERE o_orderdate < TIMESTAMP '2000-01-01'
-          AND NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)""",
     "compact_preserves_rows": f"""
         SELECT CAST(o_orderkey AS VARCHAR) AS recid,
                CASE WHEN o_orderstatus = 'F' THEN 'merged' ELSE o_orderstatus END AS status,
                {_PRICE} AS price, true AS fewer_files
         FROM orders""",
-    "maintenance_reports": """
-        SELECT CAST(1 AS BIGINT) AS expirable, CAST(3 AS BIGINT) AS orphans, count(*) AS live_rows
-        FROM orders""",
     "next_key": """
         SELECT CAST(coalesce(max(o_orderkey) + 1, 100) AS BIGINT) AS next_key
         FROM orders WHERE o_orderkey >= 100""",

@@ -133,8 +133,13 @@ def line_records(lineitem: DataFrame) -> DataFrame:
     )
 
 
+# The tags that repeat, how often, and their columns' places.
+REPEATS = {46: 9, 47: 23, 48: 23, 49: 23, 50: 23, 99: 3, 100: 2, 249: 2, 250: 2}
+PLACES = {100: 19, 99: 20, 46: 29, 47: 30, 250: 54, 48: 180, 50: 181, 49: 182, 249: 221}
+
+
 def _wide_lookup() -> list[LookupRow]:
-    """289 columns: 34 groups of c20 and 255 other tags, in a mixed order."""
+    """289 columns: 34 groups of c20 and 255 other tags, in a mixed order, repeated ones at their places."""
     rows = []
     for i in range(289):
         k = i * 97 % 289
@@ -142,21 +147,34 @@ def _wide_lookup() -> list[LookupRow]:
             rows.append(LookupRow("c20", k + 1, f"group_{k + 1}"))
         else:
             tag = k - 33 if k - 33 < 20 else k - 32
-            rows.append(LookupRow(f"c{tag}", None, f"column_{tag}"))
+            if tag not in PLACES:
+                rows.append(LookupRow(f"c{tag}", None, f"column_{tag}"))
+    for tag, place in sorted(PLACES.items(), key=lambda p: p[1]):
+        rows.insert(place, LookupRow(f"c{tag}", None, f"column_{tag}"))
     return rows
 
 
 WIDE_LOOKUP = _wide_lookup()
 
 
+def _wide_tags() -> list[tuple[str, int | None]]:
+    """Tag and m of every element of a wide record."""
+    single = [(f"c{t}", None) for t in range(1, 254, 5) if t not in REPEATS and t != 20]
+    groups = [("c20", m) for m in (1, 2, 3, 4)]
+    return single + groups + [(f"c{t}", m) for t, n in REPEATS.items() for m in range(1, n + 1)]
+
+
+def populated(rows: list[LookupRow]) -> int:
+    """Elements of a wide record that some lookup rows take."""
+    lists = {r.tag for r in rows if r.m_index is None}
+    cells = {(r.tag, r.m_index) for r in rows if r.m_index is not None}
+    return sum(tag in lists or (tag, m) in cells for tag, m in _wide_tags())
+
+
 def wide_records(rows: DataFrame, key: str, value: str) -> DataFrame:
     """(recid, XMLRECORD): about 165 elements under 60 of the tags of WIDE_LOOKUP."""
     text = F.col(value).cast("string")
-    repeats = {46: 9, 47: 23, 48: 23, 49: 23, 50: 23, 99: 3, 100: 2, 249: 2, 250: 2}
-    single = [t for t in range(1, 254, 5) if t not in repeats and t != 20]
-    content = [cell(f"c{t}", F.concat(text, F.lit(f".{t}"))) for t in single]
-    content += [cell("c20", text, m) for m in (1, 2, 3, 4)] + [F.lit('<c20 m="32"></c20>')]
-    for tag, n in repeats.items():
-        content += [cell(f"c{tag}", F.concat(text, F.lit(f".{m}")), m) for m in range(1, n + 1)]
+    content = [cell(tag, F.concat(text, F.lit(f".{tag[1:]}.{m or 1}")), m) for tag, m in _wide_tags()]
+    content.append(F.lit('<c20 m="32"></c20>'))
     recid = F.col(key).cast("string")
     return rows.select(recid.alias("recid"), record(recid, *content).alias("XMLRECORD"))

@@ -38,9 +38,12 @@ def parse_xml(
 
 
 def business_date(xml: Column | str, date_tag: str) -> Column:
-    """Text of the first <date_tag> under <row>; absent, empty or unparsable -> NULL."""
+    """The first 8 characters of the first <date_tag> under <row>; absent, empty or unparsable -> NULL.
+
+    Cut as the source cuts it, so that both sides group a longer date alike.
+    """
     cells = parse_xml(xml, cell_schema([date_tag]))[date_tag]
-    return F.get(cells, F.lit(0))["_VALUE"]
+    return F.substring(F.get(cells, F.lit(0))["_VALUE"], 1, 8)
 
 
 def in_window(day: Column, window: Window | None) -> Column:

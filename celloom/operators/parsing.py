@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from celloom.functions import cells as C
 from celloom.functions.xml import parse_xml, xml_schema
-from celloom.model import LookupRow, select_columns
+from celloom.model import LookupRow, leading_columns, named_columns
 from celloom.operators.shapes import LIST, NESTED, SCALAR, Shapes, list_shapes, profile_shapes
 
 XML_COLUMN = "XMLRECORD"
@@ -59,7 +59,9 @@ def parse_wide(
     Only tags of the chosen columns enter the XML schema: the optimizer does
     not prune it, and each mapped tag costs parse time.
     """
-    rows = select_columns(list(lookup), columns)
+    rows = list(lookup)
+    if columns is not None:
+        rows = leading_columns(rows, columns) if isinstance(columns, int) else named_columns(rows, columns)
     if shapes is None:
         shapes = profile_shapes(df, rows, xml_column, normalize)
     elif not normalize:

@@ -42,15 +42,19 @@ def align_counts(source: DataFrame, target: DataFrame) -> DataFrame:
 
 
 def gaps(source: DataFrame, target: DataFrame) -> DataFrame:
-    """Dates where the source count is the greater, NULL date last. A surplus is no gap."""
+    """Dates where the source count is the greater, in no order. A surplus is no gap."""
     return (
         align_counts(source, target)
         .where("source_rows > target_rows")
         .withColumn("missing", F.col("source_rows") - F.col("target_rows"))
-        .orderBy(F.col("business_date").asc_nulls_last())
     )
 
 
+def by_date(found: DataFrame) -> DataFrame:
+    """Gaps in the order of their dates, the NULL date last."""
+    return found.orderBy(F.col("business_date").asc_nulls_last())
+
+
 def gap_summary(source: DataFrame, target: DataFrame) -> DataFrame:
     """One row: rows and dates per side, and the number of dates with a gap."""
     return align_counts(source, target).agg(

@@ -149,19 +149,18 @@ def profile_shapes(
 
     def mapped(attribute: str) -> Column:
         tags = F.array(*[F.lit(t) for t in wanted[attribute]])
-        return F.array_intersect(_marked_tags(F.col("_xml"), attribute), tags).alias(attribute)
+        return F.array_intersect(_marked_tags(F.col("_xml"), attribute), tags)
 
     elsewhere = _marked_elsewhere(F.col("_xml"))
-    unclear = F.when(elsewhere, F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+    def named(attribute: str, tags: Column) -> Column:
+        return F.transform(tags, lambda tag: F.struct(F.lit(attribute).alias("attribute"), tag.alias("tag")))
 
-    # records of one kind mark the same tags: tell them apart before exploding
-    patterns = text.select(*[mapped(a) for a in wanted], unclear.alias("any")).distinct()
+    unclear = F.when(elsewhere, F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+    found = F.concat(*[named(a, mapped(a)) for a in wanted], named("any", unclear))
+    # grouped in each task first: what is shuffled is two rows a mapped tag and task, and one
     marked = {
-        (r["attribute"], r["tag"])
-        for r in patterns.unpivot([], [*wanted, "any"], "attribute", "tags")
-        .select("attribute", F.explode("tags").alias("tag"))
-        .distinct()
-        .collect()  # at most two per mapped tag, and one
+        (r["mark"]["attribute"], r["mark"]["tag"])
+        for r in text.select(F.explode(found).alias("mark")).distinct().collect()
     }
     open_traits = {k: t for k, t in traits.items() if (t[0], k[1].lower()) in marked}
 

@@ -21,9 +21,10 @@ from celloom.model import (
     resolve_write_mode,
 )
 from celloom.operators.parsing import parse_wide
+from celloom.sources.files import remove_folder
 from celloom.sources.jdbc import JdbcSource, read_records
 from celloom.sources.landing import land_raw, read_landed
-from celloom.table import Commit, WideTable
+from celloom.table import State, WideTable
 
 log = logging.getLogger(__name__)
 
@@ -54,7 +55,7 @@ class IngestResult:
     dataset: str
     source_rows: int
     landed: str | None
-    commit: Commit | None
+    commit: State | None
     target_rows: int | None = None
     error: str | None = None
 
@@ -78,25 +79,26 @@ def ingest(
     max_records_per_file: int = 0,
     count_target: bool = True,
 ) -> IngestResult:
-    """One dataset, once. An empty batch lands nothing and leaves the table alone.
+    """One dataset, once. An empty batch leaves no landing and no change to the table.
 
     The batch is landed first and only read back from there, so the source is
-    queried once however often the landed rows are scanned. ``count_target``
+    asked once: whether there are rows is told by the landed files. ``count_target``
     counts the table after a merge, for which its key column is read.
     """
     batch = records(dataset, mode, resolve_window(mode, window, today))
-    if batch.isEmpty():
-        log.warning("%s: nothing to load in this window", dataset.name)
-        return IngestResult(dataset.name, 0, None, None)
     path = landing_path(dataset, raw_root, load_id or new_load_id())
     land_raw(batch, path, max_records_per_file=max_records_per_file)
     landed = read_landed(spark, path)
+    rows = landed.count()  # footers only
+    if not rows:
+        remove_folder(spark, path)
+        log.warning("%s: the source has nothing for this run", dataset.name)
+        return IngestResult(dataset.name, 0, None, None)
     wide = parse_wide(
         landed, lookup, keep=(dataset.merge_key,), columns=columns, normalize=dataset.normalize
     )
     table = WideTable(spark, target_path(dataset, table_root), dataset.merge_key)
     commit = table.load(wide, resolve_write_mode(mode, window))
-    rows = landed.count()
     total = commit.live_rows
     if total is None and count_target:
         total = table.read().count()

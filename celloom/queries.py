@@ -9,13 +9,14 @@ shared folder.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from celloom import fixtures as X
 from celloom.functions.xml import business_date, in_window
-from celloom.model import HISTORY, Dataset
+from celloom.model import DAILY, HISTORY, Dataset
 from celloom.operators import quality as Q
 from celloom.operators import storage as S
 from celloom.operators.parsing import PARSED, parse_wide, with_cells
@@ -23,7 +24,7 @@ from celloom.operators.reconcile import fit_batch, migrate_table, reconciled_sch
 from celloom.operators.shapes import LIST, NESTED, list_sizes, normalize_arrays, sub_value_tags
 from celloom.plans.gapcheck import GapCheck, check_gaps
 from celloom.plans.ingest import dataframe_records, ingest
-from celloom.plans.maintenance import compact, expirable_generations, orphan_files
+from celloom.plans.maintenance import compact
 from celloom.sources.generator import next_key, stamp_records
 from celloom.sources.jdbc import hash_bucket
 from celloom.sources.landing import land_raw, read_all_landed, read_landed
@@ -34,6 +35,7 @@ from celloom.workspace import new_folder
 Query = Callable[[SparkSession, str], DataFrame]
 
 ORDERS = Dataset("orders", "orders", "bronze.orders_wide", "c167", "order_date")
+LINES = Dataset("lines", "lineitem", "bronze.lines_wide", "c167", "ship_date")
 WINDOW = ("19960101", "19961231")
 
 
@@ -41,26 +43,16 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """A scan with fewer splits than cores, spread over them.
-
-    Rendering and parsing XML cost far more than moving the rows; a table
-    large enough to have a split per core is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def _orders(spark: SparkSession, folder: str) -> DataFrame:
     return _table(spark, folder, "orders")
 
 
 def _order_records(spark: SparkSession, folder: str) -> DataFrame:
-    return X.order_records(_spread(_orders(spark, folder)))
+    return X.order_records(_orders(spark, folder))
 
 
 def _line_records(spark: SparkSession, folder: str) -> DataFrame:
-    return X.line_records(_spread(_table(spark, folder, "lineitem")))
+    return X.line_records(_table(spark, folder, "lineitem"))
 
 
 def _landed(records: DataFrame) -> DataFrame:
@@ -119,12 +111,14 @@ def wide_parse(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def column_subset(spark: SparkSession, folder: str) -> DataFrame:
+    """Two wide columns by name."""
     records = _landed(_order_records(spark, folder))
-    named = parse_wide(records, X.ORDER_LOOKUP, columns=["order_date", "status"])
-    first = parse_wide(records, X.ORDER_LOOKUP, columns=1)
-    assert named.columns == ["status", "order_date", "recid"]
-    assert first.columns == ["customer", "recid"]
-    return named
+    return parse_wide(records, X.ORDER_LOOKUP, columns=["order_date", "status"])
+
+
+def first_columns(spark: SparkSession, folder: str) -> DataFrame:
+    """The first wide columns of the lookup."""
+    return parse_wide(_landed(_order_records(spark, folder)), X.ORDER_LOOKUP, columns=3)
 
 
 def mv_fixed_group(spark: SparkSession, folder: str) -> DataFrame:
@@ -209,7 +203,7 @@ def count_by_date(spark: SparkSession, folder: str) -> DataFrame:
 def _with_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Orders that have lines: what a target short of some rows might hold."""
     keys = _table(spark, folder, "lineitem").select("l_orderkey").distinct()
-    orders = _spread(_orders(spark, folder))
+    orders = _orders(spark, folder)
     return orders.join(keys, orders.o_orderkey == keys.l_orderkey, "left_semi")
 
 
@@ -225,9 +219,10 @@ def _gap_check(spark: SparkSession, folder: str, window=None) -> GapCheck:
 
 
 def _both_counts(spark: SparkSession, folder: str, window=None) -> tuple[DataFrame, DataFrame]:
+    """Records counted by the date in their XML, a table by its date column."""
     source = Q.count_xml_by_date(_order_records(spark, folder), "c167", window)
-    target = Q.count_xml_by_date(X.order_records(_with_lines(spark, folder)), "c167", window)
-    return source, target
+    wide = parse_wide(X.order_records(_with_lines(spark, folder)), X.ORDER_LOOKUP, columns=["order_date"])
+    return source, Q.count_by_date(wide, "order_date", window)
 
 
 def count_outer_join(spark: SparkSession, folder: str) -> DataFrame:
@@ -237,11 +232,11 @@ def count_outer_join(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def gap_check(spark: SparkSession, folder: str) -> DataFrame:
-    return Q.gaps(*_both_counts(spark, folder))
+    return Q.by_date(Q.gaps(*_both_counts(spark, folder)))
 
 
 def gap_check_window(spark: SparkSession, folder: str) -> DataFrame:
-    return Q.gaps(*_both_counts(spark, folder, WINDOW))
+    return Q.by_date(Q.gaps(*_both_counts(spark, folder, WINDOW)))
 
 
 def gap_summary(spark: SparkSession, folder: str) -> DataFrame:
@@ -252,6 +247,21 @@ def gap_report(spark: SparkSession, folder: str) -> DataFrame:
     return _gap_check(spark, folder).report()
 
 
+def gap_report_datasets(spark: SparkSession, folder: str) -> DataFrame:
+    """Two datasets in one check: lines against those returned, orders against those with lines."""
+    day = X.day_text("l_shipdate")
+    lines = _table(spark, folder, "lineitem").select(day.alias("ship_date"), "l_returnflag")
+    orders, target = _orders(spark, folder), _with_lines(spark, folder)
+    sources = {"lines": lines, "orders": orders.select(X.day_text("o_orderdate").alias("order_date"))}
+    targets = {"lines": lines.where("l_returnflag <> 'R'"), "orders": target.select(X.day_text("o_orderdate").alias("order_date"))}
+    return check_gaps(
+        [LINES, ORDERS],
+        lambda d, w: Q.count_by_date(sources[d.name], d.date_column, w),
+        lambda d: targets[d.name],
+        ("19960101", "19960115"),
+    ).report()
+
+
 # --- landing -------------------------------------------------------------
 
 
@@ -269,12 +279,11 @@ def raw_landing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def hash_split(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows read bucket by bucket: every row once."""
-    records = _order_records(spark, folder).withColumn("pkey", hash_bucket("recid", 16))
-    return records.where("pkey BETWEEN 0 AND 15").groupBy("recid").agg(
-        (F.max("pkey") - F.min("pkey")).alias("bucket_spread"),
-        F.count(F.lit(1)).alias("row_count"),
-    )
+    """Records read bucket by bucket: how often each is read, and how many buckets have any."""
+    records = _order_records(spark, folder).select("recid", hash_bucket("recid", 16).alias("pkey"))
+    read = reduce(DataFrame.unionByName, [records.where(F.col("pkey") == k) for k in range(16)])
+    filled = read.agg(F.countDistinct("pkey").alias("filled_buckets"))
+    return read.groupBy("recid").agg(F.count(F.lit(1)).alias("row_count")).crossJoin(filled)  # one row
 
 
 # --- tables --------------------------------------------------------------
@@ -357,7 +366,7 @@ def ingest_history(spark: SparkSession, folder: str) -> DataFrame:
 def windowed_history_merge(spark: SparkSession, folder: str) -> DataFrame:
     """All orders loaded, then one year of changed orders: the other years stay."""
     root = new_folder(spark, "window")
-    orders = _spread(_orders(spark, folder))
+    orders = _orders(spark, folder)
     status = F.col("o_orderstatus")
     changed = orders.withColumn("o_orderstatus", F.when(status != "P", F.lower(status)).otherwise(status))
     for df, window, load_id in (
@@ -379,6 +388,28 @@ def windowed_history_merge(spark: SparkSession, folder: str) -> DataFrame:
     return table.read().select("recid", "status", "order_date", "customer")
 
 
+def daily_merge(spark: SparkSession, folder: str) -> DataFrame:
+    """All orders loaded, then one day's run over changed orders: only that day's change."""
+    root = new_folder(spark, "daily")
+    orders = _orders(spark, folder)
+    status = F.col("o_orderstatus")
+    changed = orders.withColumn("o_orderstatus", F.when(status != "P", F.lower(status)).otherwise(status))
+    for df, mode, load_id in ((orders, HISTORY, "20260101T000000"), (changed, DAILY, "20260102T000000")):
+        ingest(
+            spark,
+            ORDERS,
+            mode,
+            dataframe_records(X.order_records(df)),
+            X.ORDER_LOOKUP,
+            f"{root}/raw",
+            f"{root}/tables",
+            load_id=load_id,
+            today=date(1996, 3, 5),
+        )
+    table = WideTable(spark, f"{root}/tables/bronze/orders_wide")
+    return table.read().select("recid", "status", "order_date", "customer")
+
+
 def _depths(orders: DataFrame, *depths: int) -> DataFrame:
     """recid and one column per depth asked for; status P has no values."""
     text = F.when(F.col("o_orderstatus") != "P", F.col("o_orderpriority"))
@@ -451,18 +482,25 @@ def reconcile_wrap_batch(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def file_stats(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders written as four files, half of them merged once more."""
+    """Orders, some merged once more: counts of the files, checked against the files that rows come from."""
     orders = _orders(spark, folder)
     table = WideTable(spark, new_folder(spark, "stats"))
-    table.load(_order_rows(orders).repartition(4, "recid"), "merge")
-    table.load(_order_rows(orders.where("o_orderstatus = 'F'")).coalesce(1), "merge")
-    return S.file_stats(table.files(), table.read()).select(
-        "data_files", "delete_files", "stored_records", "live_rows", (F.col("bytes") > 0).alias("has_bytes")
+    table.load(_order_rows(orders), "merge")
+    table.load(_order_rows(orders.where("o_orderstatus = 'F'")), "merge")
+    state = table.current()
+    stored = spark.read.parquet(*[table.part_path(p) for p in (*state.parts, state.delta)])
+    seen = stored.select("_metadata.file_path").distinct().agg(F.count("*").alias("seen"))
+    return S.file_stats(table.files(), table.read()).crossJoin(seen).select(
+        (F.col("data_files") - F.col("seen")).alias("files_missed"),
+        "delete_files",
+        "stored_records",
+        "live_rows",
+        (F.col("bytes") > 0).alias("has_bytes"),
     )
 
 
 def conditional_aggs(spark: SparkSession, folder: str) -> DataFrame:
-    """Lines taken for files: returned ones as delete files."""
+    """A conditional count and a filtered sum over lines."""
     lines = _table(spark, folder, "lineitem")
     return S.file_totals(
         lines.select(
@@ -475,43 +513,11 @@ def conditional_aggs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _order_history(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders taken for snapshots; those of status P were rolled away from."""
-    return _orders(spark, folder).select(
-        F.col("o_orderkey").alias("snapshot_id"),
-        F.col("o_orderdate").cast("timestamp").alias("made_current_at"),
-        (F.col("o_orderstatus") != "P").alias("is_current_ancestor"),
-    )
-
-
-def latest_current(spark: SparkSession, folder: str) -> DataFrame:
-    return S.latest_current(_order_history(spark, folder))
-
-
-def expirable(spark: SparkSession, folder: str) -> DataFrame:
-    history = _order_history(spark, folder)
-    return S.expirable(history, datetime(1998, 1, 1)).select("snapshot_id")
-
-
-def orphan_report(spark: SparkSession, folder: str) -> DataFrame:
-    """A file per order, referenced by the lines of that order."""
-    path = F.concat(F.lit("part/"), F.col("key").cast("string"))
-    files = _orders(spark, folder).select(
-        F.col("o_orderkey").alias("key"), F.col("o_orderdate").cast("timestamp").alias("modified_at")
-    )
-    used = _table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("key")).distinct()
-    return S.orphans(
-        files.select(path.alias("file_path"), "modified_at"),
-        used.select(path.alias("file_path")),
-        datetime(2000, 1, 1),
-    ).select("file_path")
-
-
 def compact_preserves_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Many small files and a merged folder, rewritten as few."""
+    """Orders with some merged once more, rewritten as fewer files."""
     orders = _orders(spark, folder)
     table = WideTable(spark, new_folder(spark, "compact"))
-    table.load(_order_rows(orders).repartition(24, "recid"), "merge")
+    table.load(_order_rows(orders), "merge")
     merged = _order_rows(orders.where("o_orderstatus = 'F'")).withColumn("status", F.lit("merged"))
     table.load(merged, "merge")
     done = compact(table)
@@ -519,22 +525,6 @@ def compact_preserves_rows(spark: SparkSession, folder: str) -> DataFrame:
     return table.read().withColumn("fewer_files", F.lit(fewer))
 
 
-def maintenance_reports(spark: SparkSession, folder: str) -> DataFrame:
-    """What a table rewritten once leaves behind: old generations, unpublished files."""
-    table = WideTable(spark, new_folder(spark, "reports"))
-    rows = _order_rows(_orders(spark, folder))
-    for _ in range(2):
-        table.load(rows.coalesce(2), "replace")
-    rows.repartition(3, "recid").write.parquet(f"{table.path}/part-999999-crashed")
-    later = datetime(2999, 1, 1)
-    return (
-        expirable_generations(table, later)
-        .agg(F.count(F.lit(1)).alias("expirable"))
-        .crossJoin(orphan_files(table, later).agg(F.count(F.lit(1)).alias("orphans")))
-        .crossJoin(table.read().agg(F.count(F.lit(1)).alias("live_rows")))
-    )
-
-
 # --- keys and generated volume -------------------------------------------
 
 
@@ -571,6 +561,7 @@ QUERIES: dict[str, Query] = {
     "xml_parse": xml_parse,
     "wide_parse": wide_parse,
     "column_subset": column_subset,
+    "first_columns": first_columns,
     "mv_fixed_group": mv_fixed_group,
     "mv_list": mv_list,
     "mv_two_level": mv_two_level,
@@ -587,22 +578,20 @@ QUERIES: dict[str, Query] = {
     "gap_check_window": gap_check_window,
     "gap_summary": gap_summary,
     "gap_report": gap_report,
+    "gap_report_datasets": gap_report_datasets,
     "raw_landing": raw_landing,
     "hash_split": hash_split,
     "merge_upsert": merge_upsert,
     "replace_load": replace_load,
     "ingest_history": ingest_history,
     "windowed_history_merge": windowed_history_merge,
+    "daily_merge": daily_merge,
     "reconcile_add_missing": reconcile_add_missing,
     "reconcile_widen_table": reconcile_widen_table,
     "reconcile_wrap_df": reconcile_wrap_batch,
     "file_stats": file_stats,
     "conditional_aggs": conditional_aggs,
-    "latest_current": latest_current,
-    "expirable_generations": expirable,
-    "orphan_report": orphan_report,
     "compact_preserves_rows": compact_preserves_rows,
-    "maintenance_reports": maintenance_reports,
     "next_key": next_free_key,
     "generate_rows": generate_rows,
 }

@@ -21,6 +21,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all that is in it, wherever it is kept."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def list_files(spark: SparkSession, paths: Sequence[str], pattern: str = "*.parquet") -> DataFrame:
     """(file_path, modified_at, file_size_in_bytes) below the paths; contents stay unread."""
     found = [p for p in paths if path_exists(spark, p)]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -14,8 +16,8 @@ _local: dict[str, str] = {}
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it.
 
-    Only a local session may go without the setting; it gets a temporary
-    folder of its own, named once per session.
+    Only a local session, as in tests, may go without the setting; it gets a
+    temporary folder of its own, named once per session and removed at exit.
     """
     folder = spark.conf.get(_SETTING, None)
     if folder:
@@ -25,6 +27,7 @@ def shared_folder(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     if app not in _local:
         _local[app] = tempfile.mkdtemp(prefix="celloom-")
+        atexit.register(shutil.rmtree, _local[app], ignore_errors=True)
     return _local[app]
 
 

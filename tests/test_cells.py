@@ -223,13 +223,13 @@ def test_normalize_without_arrays(spark):
 def test_each_record_is_parsed_once(spark, data, names):
     """With the chosen tags only, and with no column of the file read but two."""
     from celloom import fixtures as X
-    from celloom.model import select_columns
+    from celloom.model import named_columns
     from celloom.sources.landing import land_raw, read_landed
     from celloom.workspace import new_folder
 
     path = new_folder(spark, "once")
     land_raw(X.line_records(spark.read.parquet(f"{data}/lineitem.parquet")), path)
-    rows = select_columns(X.LINE_LOOKUP, names)
+    rows = X.LINE_LOOKUP if names is None else named_columns(X.LINE_LOOKUP, names)
     shapes = {r.name: S.LIST if r.m_index is not None else S.NESTED for r in rows}
     plan = parse_wide(read_landed(spark, path), rows, shapes=shapes)._jdf.queryExecution()
     physical = plan.executedPlan().toString()

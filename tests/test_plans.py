@@ -57,7 +57,7 @@ def test_empty_batch_leaves_no_trace(spark, folder):
     df = _records(spark, [(1, "20260101", "a")])
     done = _run(spark, folder, df, DAILY, load_id="L1", today=date(2026, 5, 5))
     assert (done.source_rows, done.commit) == (0, None)
-    assert not path_exists(spark, f"{folder}/raw")
+    assert not path_exists(spark, f"{folder}/raw/account_raw/load_id=L1")
     assert not _table(spark, folder).exists()
 
 
@@ -71,6 +71,28 @@ def test_windowed_history_keeps_other_rows(spark, folder):
     assert _rows(_table(spark, folder).read()) == [("2", "20260102", "c")]
 
 
+def test_the_source_is_asked_once(spark, folder):
+    """Every row of the source adds one to a counter; a second query would show."""
+    asked = spark.sparkContext.accumulator(0)
+
+    def count(rows):
+        for row in rows:
+            asked.add(1)
+            yield row
+
+    df = _records(spark, [(k, "20260101", "a") for k in range(20)])
+    counted = spark.createDataFrame(df.rdd.mapPartitions(count), df.schema)
+    done = _run(spark, folder, counted, HISTORY, load_id="L1")
+    assert (done.source_rows, asked.value) == (20, 20)
+
+
+def test_a_longer_date_is_cut(spark, folder):
+    df = _records(spark, [(1, "202601021530", "a"), (2, "20260103", "b")])
+    done = _run(spark, folder, df, HISTORY, load_id="L1", window=("20260102", "20260102"))
+    assert done.source_rows == 1
+    assert {tuple(r) for r in Q.count_xml_by_date(df, "c167").collect()} == {("20260102", 1), ("20260103", 1)}
+
+
 def test_one_dataset_failing(spark, folder):
     df = _records(spark, [(1, "20260101", "a")])
 
@@ -97,7 +119,7 @@ def _counts(spark, rows):
 def test_gaps(spark):
     source = _counts(spark, [("20260103", 5), ("20260101", 3), ("20260102", 1), ("20260104", 2), (None, 4)])
     target = _counts(spark, [("20260101", 3), ("20260102", 9), ("20260104", 1), ("20260105", 7), (None, 1)])
-    found = Q.gaps(source, target)
+    found = Q.by_date(Q.gaps(source, target))
     assert [tuple(r) for r in found.collect()] == [
         ("20260103", 5, 0, 5),
         ("20260104", 2, 1, 1),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from celloom.functions.xml import business_date
 from celloom.model import LookupRow
 from celloom.sources.files import data_files, list_files, path_exists
-from celloom.sources.generator import date_range, generate_records, next_key
+from celloom.sources.generator import generate_records, next_key
 from celloom.sources.landing import land_raw, read_all_landed, read_landed
 from celloom.sources.lookup import load_lookup
 
@@ -73,14 +73,6 @@ def test_generated_rows(spark):
     assert one == '<row id="866"><c1>k</c1><c9>20260102</c9><g><c9 m="2">20260102</c9></g></row>'
 
 
-def test_date_range():
-    today = date(2026, 12, 31)
-    assert date_range(today=today) == (date(2026, 1, 1), today)
-    assert date_range(date(2026, 5, 1), date(2026, 5, 2)) == (date(2026, 5, 1), date(2026, 5, 2))
-    with pytest.raises(ValueError):
-        date_range(date(2026, 5, 3), date(2026, 5, 2))
-
-
 def test_next_key(spark):
     df = spark.createDataFrame([("5",), ("70",), ("9",)], "recid string")
     assert next_key(df, "recid", 6).first()[0] == 71
