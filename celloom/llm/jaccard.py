@@ -8,14 +8,15 @@ share a shingle of their prefixes. So:
 1. Equal sets are one node. A set whose prefix has a shingle that no other set
    holds for every place links with nothing and leaves at once.
 2. Nodes with the same prefix and size form a group; groups, not nodes, are
-   posted under the prefix shingles, and pairs of groups are filtered by size
-   and by the position of the shared shingle.
+   posted under the prefix shingles, and pairs of groups are filtered by size,
+   by the position of the shared shingle and, for groups of one, by bitmaps.
 3. Pairs are expanded to members and verified on the full sets.
 
-Only components are wanted, so verification goes in two rounds: first each
-group against its centre and each posting's groups against the posting's
-centre, which are as many pairs as postings; after that only members of groups
-whose components still differ. Every pair that shares a prefix shingle is thus
+Only components are wanted, so verification goes in rounds: first each group
+against its centre and each posting's groups against the posting's centre, then
+LEADS times those of other components against the centre of the posting's
+leading component, which are as many pairs as postings; after that all members
+of groups whose components still differ. Every pair that shares a prefix shingle is thus
 verified or already connected: a large group of near copies costs its size,
 not its square, and no link between components is lost.
 
@@ -41,11 +42,17 @@ PERCENT = 80
 COMMON_SHARE = 512
 #: Shingles gathered before a task writes its postings, and wanted in a bucket.
 FLUSH = 1 << 21
-
-_SETS = "doc_id long, n long, node binary, shingle long, seen long"
+#: Fewest buckets, so that a set's shingles are spread alike over small and large inputs.
+BUCKETS = 64
+#: Rounds in which postings are compared with the centre of their leading component.
+LEADS = 1
+#: Longs of a set's parity bitmap.
+PARITY = 8
+
+_SETS = "doc_id long, row long, n long, node binary, shingle long, seen long"
 _POSTS = "bucket int, node binary, n long, blob binary"
 _SHARED = "node binary, n long, tokens binary, counts binary, shared long"
-_NODES = "node binary, n long, alone long, tokens binary, prefix array<long>, grp binary"
+_NODES = "node binary, n long, alone long, tokens binary, prefix array<long>, grp binary, bits array<long>"
 _PAIR = "a binary, b binary"
 
 
@@ -74,7 +81,7 @@ def _sets(width: int):
             often = counts >= max(4, docs // COMMON_SHARE)
             values, counts = values[often], counts[often]
             none = [None] * len(values)
-            return batch(schema, doc_id=none, n=none, node=none, shingle=_longs(values), seen=counts)
+            return batch(schema, doc_id=none, row=none, n=none, node=none, shingle=_longs(values), seen=counts)
 
         for b in batches:
             names, sizes = [], []
@@ -88,7 +95,7 @@ def _sets(width: int):
                     yield common()
                     held, docs, size = [], 0, 0
             none = [None] * len(names)
-            yield batch(schema, doc_id=b.column("doc_id").to_pylist(), n=sizes, node=names, shingle=none, seen=none)
+            yield batch(schema, doc_id=b.column("doc_id"), row=b.column("row"), n=sizes, node=names, shingle=none, seen=none)
         if held:
             yield common()
 
@@ -225,6 +232,12 @@ def _share(table: pa.Table) -> pa.Table:
     )
 
 
+def _parity(tokens: np.ndarray) -> np.ndarray:
+    """For each of 512 hash values, whether an odd number of the tokens has it."""
+    odd = np.bincount((tokens >> np.uint64(55)).astype(np.int64), minlength=64 * PARITY) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _prefixes(common, common_counts, percent: int):
     """Nodes whose prefix has a shared shingle, with all their shared shingles and their group."""
     schema = arrow_schema(_NODES)
@@ -252,6 +265,7 @@ def _prefixes(common, common_counts, percent: int):
                 rows["alone"].append(alone)
                 rows["tokens"].append(np.sort(tokens).tobytes())
                 rows["prefix"].append(_longs(prefix))
+                rows["bits"].append(_parity(tokens))
                 rows["grp"].append(hashlib.blake2b(n.to_bytes(8, "little") + prefix.tobytes(), digest_size=16).digest())
             yield batch(schema, **rows)
 
@@ -290,6 +304,19 @@ def _near_enough(n: str, at: str, m: str, bt: str, percent: int) -> str:
     return f"least({n} - {at}, {m} - {bt}) * {100 + percent} >= {percent} * ({n} + {m})"
 
 
+def _bits_allow(x: str, y: str, percent: int) -> str:
+    """Whether two sets' parity bitmaps allow enough common shingles; a group without one bitmap does.
+
+    Each place where they differ is a shingle that one of them lacks, so
+    common <= (shared_x + shared_y - places) / 2.
+    """
+    places = " + ".join(f"bit_count({x}.bits[{k}] ^ {y}.bits[{k}])" for k in range(PARITY))
+    return (
+        f"({x}.bits is null OR {y}.bits is null OR "
+        f"({x}.n - {x}.alone + {y}.n - {y}.alone - ({places})) * {100 + percent} >= {2 * percent} * ({x}.n + {y}.n))"
+    )
+
+
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
 
@@ -310,23 +337,50 @@ def _centre_pairs(nodes: DataFrame, percent: int) -> DataFrame:
     return _ordered(inside.union(across))
 
 
-def _open_pairs(nodes: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Member pairs of groups that share a prefix shingle and are not yet in one component."""
-    members = landed(
-        nodes.select("node", "n", "alone", "prefix", "grp")
-        .join(roots.select(F.col("a").alias("node"), F.col("b").alias("root")), "node", "left")
-        .withColumn("root", F.coalesce("root", "node"))
-        .withColumn("part", F.unhex(F.sha2(F.concat("grp", "root"), 256))),
-        "members",
+def _members(nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """Nodes with their component so far, and their part: the members of a group in one component."""
+    rooted = nodes.select("node", "n", "alone", "prefix", "grp", "bits").join(
+        roots.select(F.col("a").alias("node"), F.col("b").alias("root")), "node", "left"
     )
-    posts = members.groupBy("part").agg(
-        F.first("root").alias("root"), F.first("n").alias("n"), F.first("alone").alias("alone"), F.first("prefix").alias("prefix")
-    ).select("part", "root", "n", "alone", F.posexplode("prefix").alias("pos", "shingle")).withColumn("pos", F.col("pos") + F.col("alone"))
+    part = F.unhex(F.sha2(F.concat("grp", "root"), 256))
+    return landed(rooted.withColumn("root", F.coalesce("root", "node")).withColumn("part", part), "members")
+
+
+def _mixed_posts(members: DataFrame) -> DataFrame:
+    """Parts under the prefix shingles that have parts of several components."""
+    parts = members.groupBy("part").agg(
+        *[F.first(c).alias(c) for c in ("root", "n", "alone", "prefix")],
+        F.min("node").alias("node"),
+        F.when(F.count("*") == 1, F.first("bits")).alias("bits"),
+    )
+    posts = parts.select("part", "node", "root", "n", "alone", "bits", F.posexplode("prefix").alias("pos", "shingle"))
+    posts = posts.withColumn("pos", F.col("pos") + F.col("alone"))
     mixed = posts.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("shingle")
-    posts = landed(posts.join(mixed, "shingle", "left_semi"), "postings")
+    return landed(posts.join(mixed, "shingle", "left_semi"), "postings")
+
+
+def _leading_pairs(posts: DataFrame, percent: int) -> DataFrame:
+    """Of each posting, the centre of the component with most parts in it, with the parts of the others."""
+    by_root = posts.groupBy("shingle", "root").agg(F.count("*").alias("k"), F.min(F.struct("alone", "node", "n")).alias("c"))
+    lead = by_root.groupBy("shingle").agg(F.max(F.struct("k", "root", "c")).alias("lead"))
+    return _ordered(
+        posts.join(lead, "shingle")
+        .where("root <> lead.root")
+        .where(_comparable("n", "lead.c.n", percent))
+        .select(F.col("lead.c.node").alias("a"), F.col("node").alias("b"))
+    )
+
+
+def _open_pairs(members: DataFrame, posts: DataFrame, percent: int) -> DataFrame:
+    """Member pairs of groups that share a prefix shingle and are not yet in one component."""
     x, y = posts.alias("x"), posts.alias("y")
+    alike = (
+        _comparable("x.n", "y.n", percent),
+        _near_enough("x.n", "x.pos", "y.n", "y.pos", percent),
+        _bits_allow("x", "y", percent),
+    )
     parts = (
-        x.join(y, F.expr("x.shingle = y.shingle AND x.root < y.root AND " + _comparable("x.n", "y.n", percent) + " AND " + _near_enough("x.n", "x.pos", "y.n", "y.pos", percent)))
+        x.join(y, F.expr(" AND ".join(("x.shingle = y.shingle", "x.root < y.root", *alike))))
         .select(F.col("x.part").alias("p"), F.col("y.part").alias("q"))
         .distinct()
     )
@@ -335,19 +389,12 @@ def _open_pairs(nodes: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     return _ordered(parts.join(left, "p").join(right, "q").select("a", "b"))
 
 
-def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row of `docs` (doc_id, text).
-
-    component_id is the smallest doc_id that links reach. Words are lower-cased
-    in A-Z. A text of fewer words than the width is one shingle; a null text or
-    one without words has no shingle and links with nothing. Repeated rows are
-    returned each. A null doc_id takes part, its component is named by the
-    others' smallest id, null if there is none. Other columns are ignored.
-    """
+def _rooted(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """(doc_id, row, n, root): every row's text hash, set size and component."""
     spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8().alias("bytes"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row"), utf8().alias("bytes"))
     sets = landed(rows.mapInArrow(_sets(width), _SETS), "sets")
-    named = sets.where("node is not null").select("doc_id", "n", "node")
+    named = sets.where("node is not null").select("doc_id", "row", "n", "node")
     total, count = named.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     # at most COMMON_SHARE times a set's mean size
     often = (
@@ -357,7 +404,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     common = spark.sparkContext.broadcast(np.array([t for t, _ in often], np.uint64))
     common_counts = spark.sparkContext.broadcast(np.array([c for _, c in often], np.int64))
 
-    buckets = max(8, -(-total // FLUSH))
+    buckets = max(BUCKETS, -(-total // FLUSH))
     posts = rows.select("bytes").mapInArrow(_posts(width, buckets, common), _POSTS)
     shared = posts.groupBy("bucket").applyInArrow(_share, _SHARED)
     parts = F.collect_list(F.when(F.col("n").isNull(), F.struct("tokens", "counts")))
@@ -373,13 +420,27 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     )
     nodes = landed(gathered.mapInArrow(_prefixes(common, common_counts, percent), _NODES), "nodes")
 
-    first = components(_verified(_centre_pairs(nodes, percent), nodes, percent))
-    more = landed(_verified(_open_pairs(nodes, first, percent), nodes, percent), "links")
-    roots = components(first.union(more))
+    roots = components(_verified(_centre_pairs(nodes, percent), nodes, percent))
+    for _ in range(LEADS):
+        posts = _mixed_posts(_members(nodes, roots))
+        roots = components(roots.union(_verified(_leading_pairs(posts, percent), nodes, percent)))
+    members = _members(nodes, roots)
+    roots = components(roots.union(_verified(_open_pairs(members, _mixed_posts(members), percent), nodes, percent)))
 
-    rooted = named.join(roots.select(F.col("a").alias("node"), F.col("b").alias("root")), "node", "left").withColumn(
-        "root", F.coalesce("root", "node")
-    )
+    roots = roots.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    return named.join(roots, "node", "left").select("doc_id", "row", "n", F.coalesce("root", "node").alias("root"))
+
+
+def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row of `docs` (doc_id, text).
+
+    component_id is the smallest doc_id that links reach. Words are lower-cased
+    in A-Z. A text of fewer words than the width is one shingle; a null text or
+    one without words has no shingle and links with nothing. Repeated rows are
+    returned each. A null doc_id takes part, its component is named by the
+    others' smallest id, null if there is none. Other columns are ignored.
+    """
+    rooted = _rooted(docs, width, percent)
     least = rooted.groupBy("root").agg(F.min("doc_id").alias("least"))
     return rooted.join(least, "root").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("least")).alias("component_id")
@@ -387,16 +448,16 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
 
 
 def kept_of_each(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """The rows of `docs`, one for each component: of its smallest doc_id, once.
+    """The rows of `docs`, with their columns, one for each component: of its smallest doc_id, once.
 
     Texts without words link with nothing and all stay, repeated rows of them too.
     """
-    found = near_duplicates(docs, width, percent)
-    lone = found.where("n_shingles = 0").select("doc_id").distinct()
-    heads = found.where("n_shingles > 0").groupBy("component_id").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
+    one = F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "row")).alias("one")
+    heads = _rooted(docs, width, percent).where("n > 0").groupBy("root").agg(one)
+    heads = heads.select(F.col("one.doc_id").alias("_head"), F.col("one.row").alias("_row"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
     words = F.coalesce(F.col("text"), F.lit("")).rlike(WORD)
-    columns = docs.columns
-    with_words = docs.where(words).join(heads, F.col("doc_id").eqNullSafe(heads["doc_id"]), "left_semi")
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
-    once = with_words.withColumn("_nth", F.row_number().over(first)).where("_nth = 1").select(*columns)
-    return once.union(docs.where(~words).select(*columns))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_head")) & (F.xxhash64("text") == F.col("_row"))
+    first = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("text")
+    once = docs.where(words).join(heads, same, "left_semi").withColumn("_nth", F.row_number().over(first)).where("_nth = 1")
+    return once.select(*columns).union(docs.where(~words).select(*columns))
