@@ -94,11 +94,11 @@ def fit(sets: list[np.ndarray], toxic: np.ndarray, rounds: int = 300, rate: floa
     """The machine of the least logistic loss over sets of terms, by Adam from a fixed start.
 
     With no rows, or rows of one label only, it is the bias alone: every score
-    is then the (smoothed) share of toxic rows.
+    is then the share of toxic rows, smoothed to a quarter of none.
     """
     toxic = np.asarray(toxic, float)
     positive = toxic.sum()
-    bias = float(np.log((positive + 0.5) / (len(toxic) - positive + 0.5)))
+    bias = float(np.log((positive + 0.5) / (len(toxic) - positive + 1.5)))
     chosen = _chosen(sets, toxic) if 0 < positive < len(toxic) else np.zeros(0, np.int64)
     place = np.zeros(1 << BITS, np.int32)
     place[chosen] = np.arange(1, len(chosen) + 1)
