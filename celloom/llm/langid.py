@@ -35,7 +35,7 @@ PIECE, LONGEST = 8, 40
 #: Probability of a single byte, and what each piece is given beside its expected count.
 BYTE, SMOOTH = 1e-5, 0.05
 #: Scored words that a task keeps.
-KEPT_WORDS = 1 << 20
+KEPT_WORDS = 1 << 18
 UNDETERMINED = "und"
 
 _BETWEEN = np.ones(256, bool)
