@@ -1,7 +1,7 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
 A text, with a space put first, falls into words: a space and what follows it
-up to the next space or line end; other spaces and line ends stand alone. No
+up to the next space, line end or tab; other spaces, line ends and tabs stand alone. No
 piece of the vocabulary goes over such a cut, so words are encoded one by one,
 and each distinct word once:
 
@@ -41,12 +41,15 @@ LONGEST_PIECE = 16
 LONGEST_WORD = 256
 #: Most words that are broadcast with their ids.
 FREQUENT = 1_000_000
+#: Text bytes for each task that builds lattices, and most such tasks; more words a task are spilled.
+TASK_BYTES, MOST_TASKS = 4 << 20, 20_000
 ZIPF, UNKNOWN = 2.7, 10.0
 FIRST_BYTE = 3
 
 _ALONE = np.zeros(256, bool)
-_ALONE[[0x20, 0x0A, 0x0D, 0x09]] = True
-_TYPES = "hash long, word string, n long"
+_ALONE[[0x20, 0x0A, 0x09]] = True
+_TYPES = "word string, n long"
+_HASHED = "hash long, n long, ids array<int>"
 _MISSING = "row long, hash long"
 _ENCODED = "doc_id long, ids array<int>, n_ids long, decoded binary"
 
@@ -120,33 +123,44 @@ def _types(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         starts, ends, hashes = (np.concatenate([f[k] for f in found]) for k in (1, 2, 3))
         hashes, first, counts = np.unique(hashes, return_index=True, return_counts=True)
         words = [found[i][0][s:e].tobytes().decode("utf-8", "replace") for i, s, e in zip(owner[first], starts[first], ends[first])]
-        yield batch(schema, hash=hashes.view(np.int64), word=words, n=counts)
+        yield batch(schema, word=words, n=counts)
 
 
-def _byte_ids(char: Column) -> Column:
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words with the hashes that they have in texts."""
+    schema = arrow_schema(_HASHED)
+    for b in batches:
+        words = [w.encode() for w in b.column("word").to_pylist()]
+        ends = np.cumsum([0, *map(len, words)])
+        sums = running(np.frombuffer(b"".join(words), np.uint8))
+        yield batch(schema, hash=range_hashes(sums, ends[:-1], ends[1:]).view(np.int64), n=b.column("n"), ids=b.column("ids"))
+
+
+def _byte_ids(code_point: Column) -> Column:
+    char = F.decode(F.unhex(F.lpad(F.hex(code_point.cast("long")), 8, "0")), "UTF-32")
     digits = F.hex(F.encode(char, "UTF-8"))
     places = F.sequence(F.lit(1), F.length(digits), F.lit(2))
     return F.transform(places, lambda k: (F.conv(F.substring(digits, k, F.lit(2)), 16, 10) + FIRST_BYTE).cast("int"))
 
 
 def best_paths(words: DataFrame, vocabulary: Pieces) -> DataFrame:
-    """(hash, n, ids) of distinct words (hash, word, n), which are dealt out by hash."""
+    """(word, n, ids) of distinct words (word, n); they are not shuffled if they are dealt out by word."""
     spark = words.sparkSession
     known = [(t, i, s) for i, (t, s) in enumerate(zip(vocabulary.texts, vocabulary.scores)) if t is not None]
     table = spark.createDataFrame(known, "piece string, id int, score double")
     unknown = min(s for _, _, s in known) - UNKNOWN
     chars = F.length("word")
-    spots = words.select("hash", "n", "word", F.explode(F.sequence(F.lit(1), chars)).alias("end"))
+    spots = words.select("n", "word", F.explode(F.sequence(F.lit(1), chars)).alias("end"))
     reach = F.explode(F.sequence(F.lit(1), F.least(F.col("end"), F.lit(LONGEST_PIECE)))).alias("size")
-    strings = spots.select("hash", "n", "word", "end", reach).select(
-        "hash", "n", "end", "size", F.substring(F.col("word"), F.col("end") - F.col("size") + 1, F.col("size")).alias("piece")
+    strings = spots.select("n", "word", "end", reach).select(
+        "n", "word", "end", "size", F.substring(F.col("word"), F.col("end") - F.col("size") + 1, F.col("size")).alias("piece")
     )
     # the vocabulary is of fixed size
     edges = strings.join(F.broadcast(table), "piece", "left").where("id is not null or size = 1")
-    ids = F.when(F.col("id").isNotNull(), F.array("id")).otherwise(_byte_ids(F.col("piece")))
+    # a character that is no piece goes as its code point, below 0, until its path is known
     score = F.coalesce("score", F.lit(unknown)).alias("score")
-    edge = F.struct("end", (-F.col("size")).alias("back"), score, ids.alias("ids"))
-    grouped = edges.groupBy("hash").agg(F.first("n").alias("n"), F.array_sort(F.collect_list(edge)).alias("edges"))
+    edge = F.struct("end", (-F.col("size")).alias("back"), score, F.coalesce("id", -1 - F.ascii("piece")).alias("id"))
+    grouped = edges.groupBy("word").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(edge)).alias("edges"))
 
     none = F.array().cast("array<int>")
     nothing = F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("back"), none.alias("ids"))
@@ -157,12 +171,14 @@ def best_paths(words: DataFrame, vocabulary: Pieces) -> DataFrame:
         before = F.when((start > 0) & (start == at["end"]), at["best"]).otherwise(F.element_at(at["done"], start + 1))
         done = F.when(new & (at["end"] > 0), F.concat(at["done"], F.array(at["best"]))).otherwise(at["done"])
         score = before["score"] + e["score"]
-        reached = F.struct(score.alias("score"), e["back"].alias("back"), F.concat(before["ids"], e["ids"]).alias("ids"))
+        reached = F.struct(score.alias("score"), e["back"].alias("back"), F.concat(before["ids"], F.array(e["id"])).alias("ids"))
         # edges of one end come longest first, so an equal score does not replace
         best = F.when(new | (score > at["best"]["score"]), reached).otherwise(at["best"])
         return F.struct(done.alias("done"), e["end"].alias("end"), best.alias("best"))
 
-    return grouped.select("hash", "n", F.aggregate("edges", state, step, lambda at: at["best"]["ids"]).alias("ids"))
+    path = F.aggregate("edges", state, step, lambda at: at["best"]["ids"])
+    ids = F.flatten(F.transform("path", lambda i: F.when(i >= 0, F.array(i)).otherwise(_byte_ids(-1 - i))))
+    return grouped.select("word", "n", path.alias("path")).select("word", "n", ids.alias("ids"))
 
 
 class Table(NamedTuple):
@@ -297,8 +313,10 @@ def encoded(docs: DataFrame, path: str = VOCABULARY, frequent: int = FREQUENT) -
     spark = docs.sparkSession
     vocabulary = pieces(path)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row"), utf8().alias("bytes"))
-    words = rows.select("bytes").mapInArrow(_types, _TYPES).groupBy("hash").agg(F.first("word").alias("word"), F.sum("n").alias("n"))
-    types = landed(best_paths(words, vocabulary), "words")
+    total = rows.agg(F.coalesce(F.sum(F.octet_length("bytes")), F.lit(0))).first()[0]
+    tasks = min(max(16, total // TASK_BYTES), MOST_TASKS)
+    words = rows.select("bytes").mapInArrow(_types, _TYPES).repartition(tasks, "word").groupBy("word").agg(F.sum("n").alias("n"))
+    types = landed(best_paths(words, vocabulary).mapInArrow(_hashed, _HASHED), "words")
     shared = spark.sparkContext.broadcast(_frequent(types, frequent))
     raw = spark.sparkContext.broadcast(vocabulary.raw)
     missing = rows.select("row", "bytes").mapInArrow(_missing(shared), _MISSING)
