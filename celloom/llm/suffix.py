@@ -36,14 +36,16 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from celloom.llm.common import arrow_schema, batch, landed, utf8
-from celloom.llm.hashing import range_hashes, running
+from celloom.llm.hashing import mix, range_hashes, running
 
 LENGTH = 50
 GRAM = 24
 #: Strings that a task looks at in one piece of a long text.
 BLOCK = 1 << 20
 #: Entries that a task gathers before it deals them out, and wanted in a bucket.
-FLUSH, IN_BUCKET = 1 << 20, 3 << 20
+FLUSH, IN_BUCKET = 1 << 20, 1 << 20
+#: Fewest buckets, so that a document's anchors are spread alike over small and large inputs.
+BUCKETS = 64
 #: Contexts of one gram in a task, beyond which all go on to level 2.
 CONTEXTS = 8
 
@@ -93,7 +95,8 @@ def anchors(text: bytes, length: int = LENGTH, gram: int = GRAM) -> Iterator[tup
         last = np.r_[first[1:], len(place)] - 1
         place = place[first]
         context = range_hashes(sums, first, last + length) ^ (place - first).astype(np.uint64)
-        yield at, sums, grams[place], _low(context, 6), first, last
+        # hashes of anchors are small ones: mixed again, they fill all buckets alike
+        yield at, sums, mix(grams[place]), _low(context, 6), first, last
 
 
 def _buckets_of(values: np.ndarray, buckets: int) -> np.ndarray:
@@ -410,7 +413,7 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row"), utf8().alias("bytes"))
     total = rows.agg(F.coalesce(F.sum(F.octet_length("bytes")), F.lit(0))).first()[0]
     expected = total * 2 // (length - gram + 2)
-    buckets = max(8, -(-expected // IN_BUCKET))
+    buckets = max(BUCKETS, -(-expected // IN_BUCKET))
     posts = rows.mapInArrow(_post_anchors(buckets, length, gram), _POSTS)
     actions = landed(posts.groupBy("bucket").applyInArrow(_refine, _ACTIONS), "actions")
 
