@@ -15,8 +15,8 @@ def shingles(text):
     return {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
 
 
-def plain(rows):
-    """(doc_id, size, smallest id reachable), all pairs compared."""
+def groups(rows):
+    """Each row's set and the place that stands for its component, all pairs compared."""
     sets = [shingles(t) for _, t in rows]
     root = list(range(len(rows)))
 
@@ -29,11 +29,17 @@ def plain(rows):
         for j in range(i):
             if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
                 root[top(i)] = top(j)
+    return sets, [top(k) for k in range(len(rows))]
+
+
+def plain(rows):
+    """(doc_id, size, smallest id reachable)."""
+    sets, top = groups(rows)
     least = {}
     for k, (i, _) in enumerate(rows):
         if i is not None:
-            least[top(k)] = min(i, least.get(top(k), i))
-    return [(i, len(sets[k]), i if not sets[k] else least.get(top(k))) for k, (i, _) in enumerate(rows)]
+            least[top[k]] = min(i, least.get(top[k], i))
+    return [(i, len(sets[k]), i if not sets[k] else least.get(top[k])) for k, (i, _) in enumerate(rows)]
 
 
 def test_equals_all_pairs(spark):
@@ -43,8 +49,8 @@ def test_equals_all_pairs(spark):
     kept = kept_of_each(docs)
     assert kept.columns == docs.columns
     got = collected(kept, "doc_id", "text")
-    roots = {(n, c) for i, n, c in plain(rows) if n}
-    assert len([t for _, t in got if words(t)]) == len({c for _, c in roots})
+    sets, top = groups(rows)
+    assert sum(bool(words(t)) for _, t in got) == len({r for r, s in zip(top, sets) if s})
     assert sum(not words(t) for _, t in got) == sum(not words(t) for _, t in rows)
 
 
@@ -80,7 +86,7 @@ def test_components(spark):
         x, y = sorted((top(a), top(b)))
         root[y] = x
     nodes = {n for link in links for n in link}
-    want = sorted((n, top(n)) for n in nodes if top(n) != n)
+    want = sorted(((n, top(n)) for n in nodes if top(n) != n), key=repr)
     assert collected(components(spark.createDataFrame(links, "a long, b long")), "a", "b") == want
 
 
