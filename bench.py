@@ -3,7 +3,7 @@
 ``parse_250/150/50`` is the parse of wide records (about 165 elements each, as
 many records as customers): landed Parquet in, shapes found, wide Parquet out.
 ``elements`` says how many of a record's elements the first 250, 150 or 50
-columns take; the long lists stand where the reference's mapping has them.
+columns take; the long lists stand where the account mapping has them.
 The others are whole jobs over orders and lines.
 """
 
