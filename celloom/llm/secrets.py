@@ -33,11 +33,15 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 LEAST_ASSIGN, LEAST_ACCESS = 6, 20
 
 _ASSIGN_HINTS = ("password", "passwd", "secret", "token", "apikey", "api_key")
-_CONTEXT_HINTS = ("pass", "pwd", "secret", "token", "key", "credential", "auth", "bearer")
+_CONTEXT_HINTS = (
+    "pass", "pwd", "secret", "token", "key", "credential", "auth", "bearer", "api", "access", "private", "client", "signing", "encryption"
+)
+#: A name may stand after an underscore or begin in camel case; blanks around the separator are free.
 CONTEXT = re.compile(
-    r"""\b(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|auth(?:orization)?|bearer|"""
-    r"""(?:api|access|private|secret|client|signing|encryption)[_\x20-]?(?:key|token|secret|id))"""
-    r"""["']?\x20{0,3}(?::=|=>|->|[:=]|\bis\b)\x20{0,3}["'`]?([^\s"'`<>,;]{8,})""",
+    r"""(?:(?<![A-Za-z0-9])|(?-i:(?<=[a-z0-9])(?=[A-Z])))"""
+    r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|auth(?:orization)?|bearer|"""
+    r"""(?:(?:api|access|private|secret|client|signing|encryption)[_\x20-]?){1,3}(?:key|token|secret|id)(?:[_\x20-]?id)?)"""
+    r"""["']?[\x20\t]*(?::=|=>|->|[:=]|\bis\b)[\x20\t]*["'`]?(?:(?:bearer|basic|token)[\x20\t]+)?([^\s"'`<>,;]{8,})""",
     re.ASCII | re.IGNORECASE,
 )
 
@@ -118,7 +122,7 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def guessed_spans(text: str, ranks: dict[str, int], known: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
-    """(start, end, "guess") of values in a credential's context that cost enough and touch no known span."""
+    """(start, end, "guess") of values in a credential's context that cost enough and are in no known span as a whole."""
     lower = text.lower()
     if not any(hint in lower for hint in _CONTEXT_HINTS):
         return []
@@ -127,7 +131,7 @@ def guessed_spans(text: str, ranks: dict[str, int], known: list[tuple[int, int,
         start, end = match.span(1)
         value = match[1].rstrip(".:!?)]}")
         end = start + len(value)
-        if len(value) < LEAST_VALUE or any(a < end and start < b for a, b, _ in known):
+        if len(value) < LEAST_VALUE or any(a <= start and end <= b for a, b, _ in known):
             continue
         if guess_cost(value, ranks) >= GUESS_COST:
             found.append((start, end, "guess"))

@@ -73,5 +73,34 @@ def test_cost_is_the_least(ranks):
     assert guess_cost("the" + "the", ranks) <= 2 * guess_cost("the", ranks)
 
 
+@pytest.mark.parametrize(
+    "before",
+    [
+        "AWS_SECRET_ACCESS_KEY=", "secret_access_key = ", "db_pwd=", "STRIPE_PRIVATE_KEY: ", "Authorization: Bearer ", "pwd:\t",
+        "pwd:    ", "pwd    :\t ", '"Authorization": "Bearer ', "dbPwd=", "client_id=", "AWS_ACCESS_KEY_ID=",
+    ],
+)
+def test_names_of_credentials(ranks, before):
+    value = "wJa1rXUt$FEM/I7MDENG+bPxRfiC!EX4PLEKqz0"
+    text = f"é {before}{value} end"
+    base, guessed = all_spans(text, ranks)
+    at = text.index(value)
+    assert (at, at + len(value), "guess") in guessed
+    assert value[-8:] not in masked(text, ranks) and masked(text, ranks).endswith("<secret> end")
+
+
+def test_no_names_of_credentials(ranks):
+    for text in ("compass: x9$Kq!2vLp0z", "bypass=x9$Kq!2vLp0z", "spwd: x9$Kq!2vLp0z", "pwd:\nx9$Kq!2vLp0z"):
+        assert all_spans(text, ranks) == ([], [])
+
+
+def test_a_value_is_masked_as_a_whole(ranks):
+    """A pattern that stops inside a value does not hide the rest; one that covers it is not counted twice."""
+    text = "password=hunter2$Kq!2vLp0z#9Zt then"
+    assert all_spans(text, ranks) == ([(0, 16, "assign")], [(9, 30, "guess")])
+    assert masked(text, ranks) == "<secret> then"
+    assert all_spans("password=x9Kq2vLp0z9Zt", ranks)[1] == []
+
+
 def test_empty_table(spark):
     assert secret_scan(documents(spark, [])).collect() == []
