@@ -3,9 +3,10 @@
 Lines are normalised (A-Z lower-cased, digits dropped, white space made single)
 and hashed, and the distinct texts that hold a line are counted by host. A line
 is common if more than LINE_DOCS texts and more than LINE_PERCENT of the host's
-documents hold it; common lines go, and a document is depleted when less than
-KEPT_PERCENT of its words are left. Copies of a text count once, so a document
-is not lost because it was copied, and shares scale with the host.
+distinct texts hold it; common lines go, and a document is depleted when less than
+KEPT_PERCENT of its words are left. Copies of a text count once on both sides, and
+null texts on neither, so a document is not lost because it was copied, a menu
+does not stay because another page was, and shares scale with the host.
 """
 
 from __future__ import annotations
@@ -104,7 +105,8 @@ def common_lines(docs: DataFrame, host: str = "source") -> DataFrame:
     """(of, common): the host and hash of the lines that are above both limits."""
     held = _lines(docs, host).select("host", "line", "row").distinct()
     counts = held.groupBy("host", "line").agg(F.count("*").alias("texts")).where(F.col("texts") > LINE_DOCS)
-    sizes = docs.groupBy(F.col(host).alias("of")).agg(F.count("*").alias("size"))
+    texts = docs.where("text is not null").select(F.col(host).alias("of"), F.xxhash64("text").alias("row")).distinct()
+    sizes = texts.groupBy("of").agg(F.count("*").alias("size"))
     return (
         counts.join(sizes, F.col("host").eqNullSafe(F.col("of")))
         .where(f"100 * texts > {LINE_PERCENT} * size")

@@ -64,5 +64,19 @@ def test_lines_that_a_host_repeats(spark):
     assert all(found[100 + k].kept and found[100 + k].common_words == 0 for k in range(60))
 
 
+def test_copies_and_nulls_do_not_lower_a_share(spark):
+    """A menu on all of a host's different pages goes, however often one more page was copied."""
+    menu = "home about news shop help contact imprint and all the other words of a menu that each page of this host shows"
+    rows = [(k, f"{menu}\nown{k}x" + "y" * (k // 26) + chr(97 + k % 26)) for k in range(100)]
+    rows += [(1000 + k, "a page that was copied many times over " + " ".join(f"c{j}" for j in range(30))) for k in range(2600)]
+    rows += [(9000 + k, None) for k in range(400)]
+    docs = documents(spark, rows).drop("source").withColumnRenamed("lang", "source").fillna({"source": "h"})
+    docs = docs.withColumn("source", docs.source.substr(0, 0))
+    found = {r.doc_id: r for r in quality_rules(docs).collect()}
+    assert len(found) == 3100
+    assert all(found[k].common_words == len(words(menu)) and not found[k].kept for k in range(100))
+    assert all(found[1000 + k].kept and found[1000 + k].common_words == 0 for k in range(2600))
+
+
 def test_empty_table(spark):
     assert quality_rules(documents(spark, [])).collect() == []
