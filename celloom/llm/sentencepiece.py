@@ -1,7 +1,7 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
-A text, with a space put first, falls into words: a space and what follows it
-up to the next space, line end or tab; other spaces, line ends and tabs stand alone. No
+A text, with a space put first, falls into words: a run of spaces and what follows it
+up to the next space, line end or tab; line ends and tabs stand alone. No
 piece of the vocabulary goes over such a cut, so words are encoded one by one,
 and each distinct word once:
 
@@ -10,6 +10,10 @@ and each distinct word once:
    that is no piece gets an edge of its own, whose ids are its UTF-8 bytes'.
 2. Edges are grouped by word and a higher-order aggregate folds them, by where
    they end, into the best path (Viterbi).
+3. Words beyond LONGEST_WORD characters are not cut. They are exploded by blocks, each
+   with the characters before it that a piece can reach, and a word's edges are not
+   grouped but sorted by where they end and folded as a stream: the scores of the
+   last LONGEST_PIECE ends are carried on, and the last edge into each end is kept.
 
 A path's score is the sum of its pieces' scores. The vocabulary's file ranks
 its pieces for merging and has no probabilities, so a piece scores -ln(rank +
@@ -24,6 +28,7 @@ hash. Decoding concatenates the pieces' bytes, so it gives back every text.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -37,7 +42,7 @@ from celloom.llm.hashing import range_hashes, running
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 LONGEST_PIECE = 16
-#: Words are cut after so many bytes.
+#: Longest word in characters whose edges are grouped, the size of a longer word's blocks, and most ids of a broadcast word.
 LONGEST_WORD = 256
 #: Most words that are broadcast with their ids.
 FREQUENT = 1_000_000
@@ -49,6 +54,8 @@ FIRST_BYTE = 3
 _ALONE = np.zeros(256, bool)
 _ALONE[[0x20, 0x0A, 0x09]] = True
 _TYPES = "word string, n long"
+_BLOCKS = "hash long, n long, at long, before int, block string"
+_EDGES = "hash long, n long, end long, size int, score double, id int"
 _HASHED = "hash long, n long, ids array<int>"
 _MISSING = "row long, hash long"
 _ENCODED = "doc_id long, ids array<int>, n_ids long, decoded binary"
@@ -62,8 +69,8 @@ class Pieces(NamedTuple):
     raw: list[bytes]
 
 
-def pieces(path: str = VOCABULARY) -> Pieces:
-    """The vocabulary of a SentencePiece model file; pieces of several spaces are left out."""
+def pieces(path: str = VOCABULARY, runs: bool = False) -> Pieces:
+    """The vocabulary of a SentencePiece model file; pieces of several spaces only with `runs`."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -71,36 +78,30 @@ def pieces(path: str = VOCABULARY) -> Pieces:
     first = next(i for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_byte(i) or model.is_unknown(i)))
     for i in range(model.get_piece_size()):
         piece = model.id_to_piece(i).replace("▁", " ")
-        plain = not (model.is_control(i) or model.is_byte(i) or model.is_unknown(i)) and " " not in piece[1:]
+        plain = not (model.is_control(i) or model.is_byte(i) or model.is_unknown(i))
+        plain = plain and (" " not in piece[1:] or (runs and not piece.strip(" ")))
         texts.append(piece if plain else None)
         scores.append(-float(np.log(max(i - first, 0) + ZIPF)))
         raw.append(bytes([int(piece[3:5], 16)]) if model.is_byte(i) else piece.encode() if plain else b"")
     return Pieces(texts, scores, raw)
 
 
+def _runs(inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    edge = np.diff(np.concatenate([[0], inside.astype(np.int8), [0]]))
+    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+
+
 def word_places(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """A space and the text as bytes, and the starts and ends of its words."""
     data = np.frombuffer(b" " + text, np.uint8)
-    alone = _ALONE[data]
-    edge = np.diff(np.concatenate([[0], (~alone).astype(np.int8), [0]]))
-    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    spaced = data[np.maximum(starts - 1, 0)] == 0x20
-    spaced &= starts > 0
-    alone[starts[spaced] - 1] = False
-    starts = starts - spaced
-    if len(starts) and (ends - starts).max() > LONGEST_WORD:
-        cuts = []
-        for start, end in zip(starts.tolist(), ends.tolist()):
-            while end - start > LONGEST_WORD:
-                cut = start + LONGEST_WORD
-                while cut > start + 1 and 0x80 <= data[cut] < 0xC0:
-                    cut -= 1
-                cuts.append((start, cut))
-                start = cut
-            cuts.append((start, end))
-        starts, ends = np.array(cuts).T
-    lone = np.flatnonzero(alone)
-    starts, ends = np.concatenate([starts, lone]), np.concatenate([ends, lone + 1])
+    alone, space = _ALONE[data], data == 0x20
+    starts, ends = _runs(~alone)
+    blank, blank_ends = _runs(space)
+    led = np.isin(starts, blank_ends)
+    leads = np.isin(blank_ends, starts)
+    starts[led] = blank[leads]
+    lone = np.flatnonzero(alone & ~space)
+    starts, ends = np.concatenate([starts, blank[~leads], lone]), np.concatenate([ends, blank_ends[~leads], lone + 1])
     order = np.argsort(starts, kind="stable")
     return data, starts[order], ends[order]
 
@@ -136,6 +137,56 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch(schema, hash=range_hashes(sums, ends[:-1], ends[1:]).view(np.int64), n=b.column("n"), ids=b.column("ids"))
 
 
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of long words, each with the characters before it that a piece can reach."""
+    schema = arrow_schema(_BLOCKS)
+    for b in batches:
+        for word, n in zip(b.column("word").to_pylist(), b.column("n").to_pylist()):
+            raw = np.frombuffer(word.encode(), np.uint8)
+            name = range_hashes(running(raw), np.array([0]), np.array([len(raw)])).view(np.int64)[0]
+            at = range(0, len(word), LONGEST_WORD)
+            before = [min(k, LONGEST_PIECE - 1) for k in at]
+            block = [word[k - c : k + LONGEST_WORD] for k, c in zip(at, before)]
+            yield batch(schema, hash=[name] * len(at), n=[n] * len(at), at=list(at), before=before, block=block)
+
+
+def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Ids of long words from their edges, sorted by word, end and size, the longest first."""
+    schema, names, ring = arrow_schema(_HASHED), arrow_schema(_EDGES).names, LONGEST_PIECE + 1
+    word, last, scores, back, through = None, 0, [0.0] * ring, array("b"), array("i")
+    out: dict[str, list] = {name: [] for name in schema.names}
+
+    def close() -> None:
+        path, at = [], last
+        while at:
+            piece = through[at - 1]
+            path += [piece] if piece >= 0 else [FIRST_BYTE + c for c in reversed(chr(-1 - piece).encode())]
+            at -= back[at - 1]
+        for name, value in zip(schema.names, (*word, np.array(path[::-1], np.int32))):
+            out[name].append(value)
+
+    for b in batches:
+        for name, n, end, size, score, piece in zip(*(b.column(k).to_pylist() for k in names)):
+            if word is None or word[0] != name:
+                if word is not None:
+                    close()
+                word, last, scores, back, through = (name, n), 0, [0.0] * ring, array("b"), array("i")
+            score += scores[(end - size) % ring]
+            if end > last:
+                last = end
+                scores[end % ring] = score
+                back.append(size)
+                through.append(piece)
+            elif score > scores[end % ring]:
+                scores[end % ring], back[-1], through[-1] = score, size, piece
+        if out["hash"]:
+            yield batch(schema, **out)
+            out = {name: [] for name in schema.names}
+    if word is not None:
+        close()
+        yield batch(schema, **out)
+
+
 def _byte_ids(code_point: Column) -> Column:
     char = F.decode(F.unhex(F.lpad(F.hex(code_point.cast("long")), 8, "0")), "UTF-32")
     digits = F.hex(F.encode(char, "UTF-8"))
@@ -143,24 +194,46 @@ def _byte_ids(code_point: Column) -> Column:
     return F.transform(places, lambda k: (F.conv(F.substring(digits, k, F.lit(2)), 16, 10) + FIRST_BYTE).cast("int"))
 
 
-def best_paths(words: DataFrame, vocabulary: Pieces) -> DataFrame:
-    """(word, n, ids) of distinct words (word, n); they are not shuffled if they are dealt out by word."""
-    spark = words.sparkSession
+def _edges(strings: DataFrame, vocabulary: Pieces) -> DataFrame:
+    """Rows of `strings` (piece, size) that are pieces or single characters, with score and id."""
     known = [(t, i, s) for i, (t, s) in enumerate(zip(vocabulary.texts, vocabulary.scores)) if t is not None]
-    table = spark.createDataFrame(known, "piece string, id int, score double")
+    table = strings.sparkSession.createDataFrame(known, "piece string, id int, score double")
     unknown = min(s for _, _, s in known) - UNKNOWN
+    # the vocabulary is of fixed size
+    edges = strings.join(F.broadcast(table), "piece", "left").where("id is not null or size = 1")
+    # a character that is no piece goes as its code point, below 0, until its path is known
+    return edges.withColumns({"score": F.coalesce("score", F.lit(unknown)), "id": F.coalesce("id", -1 - F.ascii("piece"))})
+
+
+def _sizes(end: Column) -> Column:
+    return F.explode(F.sequence(F.lit(1), F.least(end, F.lit(LONGEST_PIECE)))).alias("size")
+
+
+def long_paths(words: DataFrame, vocabulary: Pieces) -> DataFrame:
+    """(hash, n, ids) of long distinct words (word, n)."""
+    blocks = words.select("word", "n").mapInArrow(_blocks, _BLOCKS)
+    stop = F.explode(F.sequence(F.col("before") + 1, F.length("block"))).alias("stop")
+    spots = blocks.select("hash", "n", (F.col("at") - F.col("before")).alias("at"), "block", stop)
+    strings = spots.select("*", _sizes(F.col("stop"))).select(
+        "hash",
+        "n",
+        (F.col("at") + F.col("stop")).alias("end"),
+        "size",
+        F.substring(F.col("block"), F.col("stop") - F.col("size") + 1, F.col("size")).alias("piece"),
+    )
+    edges = _edges(strings, vocabulary).select(*arrow_schema(_EDGES).names)
+    return edges.repartition("hash").sortWithinPartitions("hash", "end", F.desc("size")).mapInArrow(_folded, _HASHED)
+
+
+def best_paths(words: DataFrame, vocabulary: Pieces) -> DataFrame:
+    """(word, n, ids) of distinct words (word, n); they are not shuffled if they are dealt out by word."""
     chars = F.length("word")
     spots = words.select("n", "word", F.explode(F.sequence(F.lit(1), chars)).alias("end"))
-    reach = F.explode(F.sequence(F.lit(1), F.least(F.col("end"), F.lit(LONGEST_PIECE)))).alias("size")
-    strings = spots.select("n", "word", "end", reach).select(
+    strings = spots.select("n", "word", "end", _sizes(F.col("end"))).select(
         "n", "word", "end", "size", F.substring(F.col("word"), F.col("end") - F.col("size") + 1, F.col("size")).alias("piece")
     )
-    # the vocabulary is of fixed size
-    edges = strings.join(F.broadcast(table), "piece", "left").where("id is not null or size = 1")
-    # a character that is no piece goes as its code point, below 0, until its path is known
-    score = F.coalesce("score", F.lit(unknown)).alias("score")
-    edge = F.struct("end", (-F.col("size")).alias("back"), score, F.coalesce("id", -1 - F.ascii("piece")).alias("id"))
-    grouped = edges.groupBy("word").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(edge)).alias("edges"))
+    edge = F.struct("end", (-F.col("size")).alias("back"), "score", "id")
+    grouped = _edges(strings, vocabulary).groupBy("word").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(edge)).alias("edges"))
 
     none = F.array().cast("array<int>")
     nothing = F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("back"), none.alias("ids"))
@@ -281,7 +354,8 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _frequent(types: DataFrame, most: int) -> Table:
-    """The words that are seen most, as many as fit: all of a count or none."""
+    """The words that are seen most, as many as fit: all of a count or none; those of very many ids are not among them."""
+    types = types.where(F.size("ids") <= LONGEST_WORD)
     counts = types.groupBy("n").agg(F.count("*").alias("k")).orderBy(F.desc("n"))
     # as many rows as there are different counts that still fit
     total, least = 0, None
@@ -304,19 +378,23 @@ def _frequent(types: DataFrame, most: int) -> Table:
     return Table(hashes.view(np.uint64)[order], offsets, flat[place].astype(np.int32))
 
 
-def encoded(docs: DataFrame, path: str = VOCABULARY, frequent: int = FREQUENT) -> DataFrame:
+def encoded(docs: DataFrame, path: str = VOCABULARY, frequent: int = FREQUENT, runs: bool = False) -> DataFrame:
     """doc_id, ids, n_ids and decoded (the bytes that the ids give back) of every row of `docs` (doc_id, text).
 
-    A null or empty text has no ids. Repeated rows are returned each, a null
+    With `runs` the vocabulary is whole, else without its pieces of several spaces. A null or empty text has no ids. Repeated rows are returned each, a null
     doc_id too; other columns are ignored.
     """
     spark = docs.sparkSession
-    vocabulary = pieces(path)
+    vocabulary = pieces(path, runs)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row"), utf8().alias("bytes"))
     total = rows.agg(F.coalesce(F.sum(F.octet_length("bytes")), F.lit(0))).first()[0]
     tasks = min(max(16, total // TASK_BYTES), MOST_TASKS)
-    words = rows.select("bytes").mapInArrow(_types, _TYPES).repartition(tasks, "word").groupBy("word").agg(F.sum("n").alias("n"))
-    types = landed(best_paths(words, vocabulary).mapInArrow(_hashed, _HASHED), "words")
+    words = rows.select("bytes").mapInArrow(_types, _TYPES).repartition(tasks, "word").groupBy("word")
+    # an aggregate, so that the condition on it stays above the shuffle and both branches share that
+    words = words.agg(F.sum("n").alias("n"), F.max(F.length("word")).alias("chars"))
+    short, long = words.where(F.col("chars") <= LONGEST_WORD), words.where(F.col("chars") > LONGEST_WORD)
+    types = best_paths(short, vocabulary).mapInArrow(_hashed, _HASHED).unionByName(long_paths(long, vocabulary))
+    types = landed(types, "words")
     shared = spark.sparkContext.broadcast(_frequent(types, frequent))
     raw = spark.sparkContext.broadcast(vocabulary.raw)
     missing = rows.select("row", "bytes").mapInArrow(_missing(shared), _MISSING)
@@ -326,7 +404,7 @@ def encoded(docs: DataFrame, path: str = VOCABULARY, frequent: int = FREQUENT) -
 
 
 def round_trip(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
-    """doc_id, n_ids, ids_sha256 (of the ids, comma-joined) and decoded_sha256 of every row, with the ids."""
-    found = encoded(docs, path)
+    """doc_id, n_ids, ids_sha256 (of the ids, comma-joined) and decoded_sha256 of every row, with the ids; all pieces are used."""
+    found = encoded(docs, path, runs=True)
     listed = F.array_join(F.transform("ids", lambda i: i.cast("string")), ",")
     return found.select("doc_id", "n_ids", F.sha2(listed, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), "ids")

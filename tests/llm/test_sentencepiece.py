@@ -53,6 +53,61 @@ def test_round_trip_and_best_paths(spark, vocabulary, library, frequent):
         assert list(r.ids) == want or abs(cost(r.ids) - cost(want)) < 1e-3
 
 
+@pytest.fixture(scope="module")
+def whole_library():
+    """The library with all of the model's pieces, none marked as unused, and the same scores."""
+    import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2 as pb
+
+    model = pb.ModelProto()
+    with open(VOCABULARY, "rb") as file:
+        model.ParseFromString(file.read())
+    model.trainer_spec.model_type = 1
+    scores = pieces(runs=True).scores
+    for i, piece in enumerate(model.pieces):
+        if piece.type not in (2, 3, 6):
+            piece.score = scores[i]
+    return sentencepiece.SentencePieceProcessor(model_proto=model.SerializeToString())
+
+
+def test_the_vocabulary_is_whole(whole_library):
+    vocabulary = pieces(runs=True)
+    for i in range(whole_library.get_piece_size()):
+        special = whole_library.is_control(i) or whole_library.is_byte(i) or whole_library.is_unknown(i)
+        assert vocabulary.texts[i] == (None if special else whole_library.id_to_piece(i).replace("▁", " "))
+
+
+@pytest.mark.parametrize("frequent", [1_000_000, 0])
+def test_runs_of_spaces_and_long_words(spark, whole_library, frequent):
+    """Paths go through runs of spaces and over any length of word, as the library's with all pieces do."""
+    import random
+
+    rng = random.Random(5)
+    signs = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/"
+    texts = [
+        "def f(x):\n" + " " * 15 + "return x\n" + " " * 16 + "\n\t  y  =  1   \n",
+        "a" + "".join(" " * k + "b" for k in range(1, 40)),
+        "  leading", "trailing  ", " " * 300, " " * 700 + "word" + " " * 700, "\t \t  \t",
+        "".join(rng.choice(signs) for _ in range(5000)),
+        "so " + "international" * 60 + " it is",
+        "".join(rng.choice("的一是不了人我在有他这中大来上國漢字😀é\u0301ñ") for _ in range(900)),
+        "x" * 900, "=" * 257 + " " + "-" * 1024 + "\n" + "ab" * 128,
+    ]
+    vocabulary = pieces(runs=True)
+    found = {r.doc_id: r for r in encoded(documents(spark, list(enumerate(texts))), frequent=frequent, runs=True).collect()}
+    cost = lambda ids: sum(vocabulary.scores[i] for i in ids)
+    for i, text in enumerate(texts):
+        want = whole_library.encode(text)
+        assert bytes(found[i].decoded).decode() == text
+        assert list(found[i].ids) == want or abs(cost(found[i].ids) - cost(want)) < 1e-3 * len(want), text[:40]
+    assert 359 in found[0].ids and 259 in found[2].ids
+
+
+def test_round_trip_uses_all_pieces(spark):
+    row = round_trip(documents(spark, [(1, "a" + " " * 16 + "\nb")])).first()
+    assert 359 in row.ids
+
+
 def test_digests(spark):
     import hashlib
 
