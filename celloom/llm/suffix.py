@@ -1,12 +1,12 @@
-"""Repeated passages by bucket-pointer refinement.
+"""Repeated passages by anchors (winnowing) and hashes of strings.
 
 A byte goes if a string of 50 bytes covers it that also starts in a document
-with a smaller doc_id. Whether two strings are equal is found as in
-bucket-pointer refinement: positions are put into buckets by a short gram, and
-only buckets of several documents are refined, by the bucket identifiers of
-longer strings at offsets around the gram, down to the length asked for. The
-identifier of a string of any length comes from the same running sums, so a
-level reuses what the level before computed.
+with a smaller doc_id. This is not bucket-pointer refinement: no bucket is
+sorted by the bucket identifiers of later offsets, and no identifiers are
+updated and used again. Positions are put into buckets by a short gram, and only
+buckets of several documents are opened, in two fixed levels, by hashes of
+longer strings. The hash of a string of any length comes from the same running
+sums of its text.
 
 Level 0 takes 24-byte grams, not at every position but at anchors: of the 27
 grams in a 50-byte string the one with the least hash. Equal strings have equal
