@@ -10,6 +10,8 @@ from celloom.llm.jaccard import near_duplicates
 from celloom.llm.langid import language_id
 from celloom.llm.mixing import mixing
 from celloom.llm.quality import quality_rules
+from celloom.llm.runs import periodic_runs, run_digest, with_planted_runs
+from celloom.llm.search import lexical_search
 from celloom.llm.secrets import secret_scan
 from celloom.llm.sentencepiece import round_trip
 from celloom.llm.suffix import repeated_passages
@@ -62,6 +64,14 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules(table(spark, folder, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return run_digest(periodic_runs(with_planted_runs(table(spark, folder, "documents"))))
+
+
+def op12_ranked_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical_search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_chat_formatting": op2_chat_formatting,
@@ -73,6 +83,8 @@ QUERIES = {
     "op8_exact_top_k": op8_exact_top_k,
     "op9_secret_scans": op9_secret_scans,
     "op10_quality_rules": op10_quality_rules,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_ranked_lexical_search": op12_ranked_lexical_search,
 }
 
 SQL = {
@@ -114,5 +126,41 @@ scores AS (
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
 FROM scores
 QUALIFY rank <= 10
+""",
+    "op12_ranked_lexical_search": r"""
+WITH doc_terms AS (
+  SELECT doc_id, row_number() OVER () AS r,
+    regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x{00}-\x{2F}\x{3A}-\x{40}\x{5B}-\x{60}\x{7B}-\x{7F}]+') AS terms
+  FROM documents
+),
+docs AS (SELECT doc_id, r, terms, len(terms) AS n FROM doc_terms WHERE len(terms) > 0),
+totals AS (SELECT count(*) AS docs_n, CAST(sum(n) AS BIGINT) AS terms_n FROM docs),
+postings AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM docs) GROUP BY ALL),
+asked AS (
+  SELECT item_id, term, count(*) AS times
+  FROM (
+    SELECT item_id, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x{00}-\x{2F}\x{3A}-\x{40}\x{5B}-\x{60}\x{7B}-\x{7F}]+')) AS term
+    FROM benchmark
+  )
+  GROUP BY ALL
+),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * docs_n + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM postings GROUP BY term), totals
+),
+norms AS (SELECT r, doc_id, 100 - 75 + ((75 * n * docs_n) // terms_n) AS m FROM docs, totals),
+scores AS (
+  SELECT item_id, doc_id, r, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM asked JOIN weights USING (term) JOIN postings USING (term) JOIN norms USING (r)
+  GROUP BY item_id, doc_id, r
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scores
+WHERE score > 0
+QUALIFY rank <= 10
 """,
 }
