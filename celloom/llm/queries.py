@@ -10,6 +10,7 @@ from celloom.llm.jaccard import near_duplicates
 from celloom.llm.langid import language_id
 from celloom.llm.mixing import mixing
 from celloom.llm.quality import quality_rules
+from celloom.llm.records import token_records
 from celloom.llm.runs import periodic_runs, run_digest, with_planted_runs
 from celloom.llm.search import lexical_search
 from celloom.llm.secrets import secret_scan
@@ -17,6 +18,7 @@ from celloom.llm.sentencepiece import round_trip
 from celloom.llm.suffix import repeated_passages
 from celloom.llm.topk import top_k
 from celloom.llm.toxicity import toxicity
+from celloom.workspace import new_folder
 
 
 def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
@@ -72,6 +74,12 @@ def op12_ranked_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
     return lexical_search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op13_token_records(spark: SparkSession, folder: str) -> DataFrame:
+    """What the index, made by reading the files back, holds of each document."""
+    index = token_records(table(spark, folder, "documents"), new_folder(spark, "token-records"))
+    return index.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_chat_formatting": op2_chat_formatting,
@@ -85,6 +93,7 @@ QUERIES = {
     "op10_quality_rules": op10_quality_rules,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_ranked_lexical_search": op12_ranked_lexical_search,
+    "op13_token_records": op13_token_records,
 }
 
 SQL = {
