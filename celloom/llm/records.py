@@ -268,7 +268,7 @@ def write_index(spark: SparkSession, path: str) -> DataFrame:
     inside.write.parquet(f"{path}/offsets")
     inside = spark.read.schema(_INDEX).parquet(f"{path}/offsets")
     # a row a file: files are ordered by the task that wrote them, then by their number in it
-    number = lambda group: F.regexp_extract("file", r"^part-(\d+)-.*?-c(\d+)", group).cast("long")
+    number = lambda group: F.regexp_extract("file", r"^part-(\d+)-.*-c(\d+)\.", group).cast("long")
     files = inside.groupBy("file").agg(F.sum("n_tokens").alias("n"))
     before = Window.orderBy(number(1), number(2)).rowsBetween(Window.unboundedPreceding, -1)
     files = files.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
