@@ -21,9 +21,11 @@ table of their own. ``read_records`` reads any records by that table,
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from functools import lru_cache
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -135,48 +137,90 @@ def _loaded(vocabulary: str):
     return Encoder(Tokenizer.from_str(vocabulary))
 
 
+# Lower-case ASCII without the apostrophe of "it's" and the beginning of control strings, and how such words are cut.
+_PLAIN = re.compile(rb"(?!.*<\|)[!-&(-@\[-~]+").fullmatch
+_PARTS = re.compile(r"[a-z]+|[0-9]|[^a-z0-9]+").findall
+
+
+class _Numbers(dict):
+    """Words with their numbers; a new word takes the next one."""
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self)
+        return n
+
+
 class Encoder:
-    """The ids of whole texts, each distinct word between ASCII blanks encoded once as long as it is remembered.
+    """The ids of whole texts; each distinct word between ASCII blanks is encoded once while it is remembered.
 
     For a vocabulary whose words never go over white space: its splitter
     drops white space, and what it makes of a word depends on the word alone.
+    Plain ASCII words, which its normalizer leaves as they are and its splitter
+    cuts into letters, single digits and other characters, are cut here and
+    go to the tokenizer's model at once; all other words go through the whole tokenizer.
     """
 
     def __init__(self, tokenizer):
         self.tokenizer = tokenizer
         self.wide = tokenizer.get_vocab_size(with_added_tokens=True) > 1 << 16
-        self._forget()
+        self.number = _Numbers()
+        self.ids, self.starts, self.counts, self.seen = (np.zeros(0, t) for t in (np.uint32, np.int64, np.int64, np.int64))
 
     def _forget(self) -> None:
-        self.number: dict[bytes, int] = {}
-        self.ids, self.starts, self.counts = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        """Words seen once since the last time go, and if that is not enough all do."""
+        keep = np.flatnonzero(self.seen > 1)
+        if len(keep) > REMEMBERED // 2:
+            keep = keep[:0]
+        words = list(self.number)
+        self.number = _Numbers((words[k], n) for n, k in enumerate(keep.tolist()))
+        self.starts, self.counts = self.starts[keep], self.counts[keep]
+        upto = np.cumsum(self.counts) - self.counts
+        self.ids = self.ids[np.repeat(self.starts - upto, self.counts) + np.arange(int(self.counts.sum()))]
+        self.starts, self.seen = upto, np.zeros(len(keep), np.int64)
 
     def _learn(self, words: list[bytes]) -> None:
-        known = len(self.number)
-        self.number.update(zip(words, range(known, known + len(words))))
-        made = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
-        counts = np.array([len(m) for m in made], np.int64)
+        """The ids of new words, appended."""
+        tokenize = self.tokenizer.model.tokenize
+        made: list = [None] * len(words)
+        others = []
+        for k, word in enumerate(words):
+            if not _PLAIN(word):
+                others.append(k)
+            elif word.isalpha():
+                made[k] = [t.id for t in tokenize(word.decode())]
+            else:
+                made[k] = [t.id for part in _PARTS(word.decode()) for t in tokenize(part)]
+        groups = [others[at : at + 512] for at in range(0, len(others), 512)]
+        texts = [[words[k].decode() for k in group] for group in groups]
+        for group, found in zip(groups, self.tokenizer.encode_batch(texts, is_pretokenized=True, add_special_tokens=False)):
+            for k in group:
+                made[k] = []
+            for k, token in zip(found.word_ids, found.ids):
+                made[group[k]].append(token)
+        counts = np.fromiter(map(len, made), np.int64, len(made))
         starts = len(self.ids) + np.cumsum(counts) - counts
-        self.ids = np.concatenate([self.ids, np.fromiter((i for m in made for i in m), np.uint32, int(counts.sum()))])
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(made), np.uint32, int(counts.sum()))])
         self.starts, self.counts = np.concatenate([self.starts, starts]), np.concatenate([self.counts, counts])
+        self.seen = np.concatenate([self.seen, np.zeros(len(words), np.int64)])
 
     def encode(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All texts' ids in a row, an end id after each text, and how many each text has."""
         if len(self.number) > REMEMBERED:
             self._forget()
-        split = [t.split() for t in texts]
-        new = dict.fromkeys(w for words in split for w in words if w not in self.number)
-        if new:
-            self._learn(list(new))
-        number = self.number
-        sizes = np.array([len(words) for words in split], np.int64)
-        at = np.fromiter((number[w] for words in split for w in words), np.int64, int(sizes.sum()))
+        # letters are lower-cased by the vocabulary anyway, but not within its control strings
+        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
+        sizes = np.fromiter(map(len, split), np.int64, len(split))
+        known = len(self.number)
+        at = np.fromiter(map(self.number.__getitem__, chain.from_iterable(split)), np.int64, int(sizes.sum()))
+        if len(self.number) > known:
+            self._learn(list(islice(self.number, known, None)))
+        self.seen += np.bincount(at, minlength=len(self.seen))
         per_word = self.counts[at]
         upto = np.concatenate([[0], np.cumsum(per_word)])
         bounds = np.concatenate([[0], np.cumsum(sizes)])
-        counts = upto[bounds[1:]] - upto[bounds[:-1]] + 1
+        ends = upto[bounds[1:]]
         flat = self.ids[np.repeat(self.starts[at] - upto[:-1], per_word) + np.arange(upto[-1])]
-        return np.insert(flat, upto[bounds[1:]], end_id), counts
+        return np.insert(flat, ends, end_id), np.diff(ends, prepend=0) + 1
 
 
 # --- files -------------------------------------------------------------------
