@@ -38,7 +38,7 @@ END_ID = 1
 #: Bytes of text in a chunk, and chunks in a file.
 CHUNK_BYTES, FILE_CHUNKS = 1 << 22, 8
 #: Words that a task remembers with their ids.
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 19
 #: 32-bit words that are checked at once.
 _CHECKED = 1 << 20
 
@@ -140,6 +140,8 @@ def _loaded(vocabulary: str):
 # Lower-case ASCII without the apostrophe of "it's" and the beginning of control strings, and how such words are cut.
 _PLAIN = re.compile(rb"(?!.*<\|)[!-&(-@\[-~]+").fullmatch
 _PARTS = re.compile(r"[a-z]+|[0-9]|[^a-z0-9]+").findall
+# A word that ends in marks after a letter: the splitter always cuts there.
+_MARKED = re.compile(rb"(?!.*<\|)(.*[a-z])([!-&(-/:-@\[-`{-~]+)", re.DOTALL).fullmatch
 
 
 class _Numbers(dict):
@@ -181,15 +183,27 @@ class Encoder:
     def _learn(self, words: list[bytes]) -> None:
         """The ids of new words, appended."""
         tokenize = self.tokenizer.model.tokenize
+        known = len(self.counts)
         made: list = [None] * len(words)
         others = []
         for k, word in enumerate(words):
-            if not _PLAIN(word):
-                others.append(k)
-            elif word.isalpha():
+            if word.isalpha() and word.isascii():
                 made[k] = [t.id for t in tokenize(word.decode())]
-            else:
+                continue
+            if (marked := _MARKED(word)) is not None:
+                # what is known of the word without the marks
+                n = self.number.get(marked[1])
+                if n is not None and n < known:
+                    stem = self.ids[self.starts[n] : self.starts[n] + self.counts[n]].tolist()
+                else:
+                    stem = made[n - known] if n is not None and n - known < k else None
+                if stem is not None:
+                    made[k] = stem + [t.id for t in tokenize(marked[2].decode())]
+                    continue
+            if _PLAIN(word):
                 made[k] = [t.id for part in _PARTS(word.decode()) for t in tokenize(part)]
+            else:
+                others.append(k)
         groups = [others[at : at + 512] for at in range(0, len(others), 512)]
         texts = [[words[k].decode() for k in group] for group in groups]
         for group, found in zip(groups, self.tokenizer.encode_batch(texts, is_pretokenized=True, add_special_tokens=False)):

@@ -87,7 +87,7 @@ def test_frames_come_back(wide):
 def test_words_alone_give_the_ids_of_whole_texts(tokenizer):
     odd = [
         "á ́b \xa0 x\xa0y　z \x85 \x1c\x1d\x1e\x1f w", "don't CAN'T it's 'S ''ll", "<|endoftext|>x <|startoftext|><|endoftext|> <|end",
-        "ΑΣ ΣΑΣ İstanbul ﬁ Å Å", "1234 5 67a8 ½ ²", "​‍ ﻿ 👩‍👩‍👧 漢字かな", "\x00 \x7f \x0b\x0c", "!!! ... --- a!b?c", "़ क़ ाि",
+        "ΑΣ ΣΑΣ İstanbul ﬁ Å Å", "1234 5 67a8 ½ ²", "​‍ ﻿ 👩‍👩‍👧 漢字かな", "\x00 \x7f \x0b\x0c", "!!! ... --- a!b?c", "end. end, end... (end) it's. its' 'x' <|endoftext|>. a<|startoftext|>, é. é, 7. 7a! a7!", "़ क़ ाि",
     ]
     many = odd + [t or "" for t in texts(6, 80)]
     encoder = Encoder(tokenizer)
