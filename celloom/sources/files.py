@@ -4,27 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 LISTING = "file_path string, modified_at timestamp, file_size_in_bytes bigint"
 
 
+def _in_file_system(spark: SparkSession, path: str):
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Does a file or folder match? Nothing is read."""
-    try:
-        spark.read.format("binaryFile").load(path)
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
+    files, pattern = _in_file_system(spark, path)
+    return bool(files.globStatus(pattern))
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder with all that is in it, wherever it is kept."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    files, folder = _in_file_system(spark, path)
+    files.delete(folder, True)
 
 
 def list_files(spark: SparkSession, paths: Sequence[str], pattern: str = "*.parquet") -> DataFrame:
