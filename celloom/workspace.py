@@ -4,31 +4,34 @@ from __future__ import annotations
 
 import atexit
 import shutil
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 _SETTING = "spark.checkpoint.dir"
-_local: dict[str, str] = {}
+_own: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it.
 
-    Only a local session, as in tests, may go without the setting; it gets a
-    temporary folder of its own, named once per session and removed at exit.
+    Without the setting it is a folder below the session's warehouse, which all
+    executors share too. A local session, as in tests, removes it in the end.
     """
     folder = spark.conf.get(_SETTING, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {_SETTING} to a folder all executors share")
     app = spark.sparkContext.applicationId
-    if app not in _local:
-        _local[app] = tempfile.mkdtemp(prefix="celloom-")
-        atexit.register(shutil.rmtree, _local[app], ignore_errors=True)
-    return _local[app]
+    if app not in _own:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        _own[app] = f"{warehouse}/celloom-work/{app}"
+        if spark.sparkContext.master.startswith("local"):
+            atexit.register(_remove, _own[app])
+    return _own[app]
+
+
+def _remove(folder: str) -> None:
+    shutil.rmtree(folder.removeprefix("file:"), ignore_errors=True)
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

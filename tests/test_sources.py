@@ -1,5 +1,7 @@
+import glob
 from datetime import date
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -8,7 +10,8 @@ from celloom.functions.xml import business_date
 from celloom.model import LookupRow
 from celloom.sources.files import data_files, list_files, path_exists
 from celloom.sources.generator import generate_records, next_key
-from celloom.sources.landing import land_raw, read_all_landed, read_landed
+from celloom.sources import landing as L
+from celloom.sources.landing import land_raw, read_all_landed, read_landed, read_landed_window
 from celloom.sources.lookup import load_lookup
 
 
@@ -49,6 +52,59 @@ def test_landing_bounds_files(spark, folder):
     assert data_files(spark, [f"{folder}/l"]).count() == 10
 
 
+def _records(spark, n, days=60):
+    """Records of some 600 bytes that do not compress, in one partition as from one source connection."""
+    text = F.concat(*[F.sha2(F.concat("id", F.lit(f"-{k}")), 256) for k in range(8)])
+    day = F.date_format(F.date_add(F.lit("2026-01-01").cast("date"), (F.col("id") * 7 % days).cast("int")), "yyyyMMdd")
+    xml = F.concat(F.lit("<row><c1>"), text, F.lit("</c1><c9>"), day, F.lit("</c9></row>"))
+    undated = F.concat(F.lit("<row><c1>"), text, F.lit("</c1></row>"))
+    records = spark.range(n, numPartitions=1)
+    return records.select(F.col("id").cast("string").alias("recid"), F.when(F.col("id") % 100 > 0, xml).otherwise(undated).alias("XMLRECORD"))
+
+
+def test_one_connection_is_landed_and_parsed_by_several_tasks(spark, folder):
+    records = _records(spark, 20_000)
+    assert records.rdd.getNumPartitions() == 1
+    land_raw(records, f"{folder}/one")
+    land_raw(records, f"{folder}/many", spread=True)
+    assert len(glob.glob(f"{folder}/one/*.parquet")) == 1
+    sizes = [r["n"] for r in read_landed(spark, f"{folder}/many").groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) >= 4 and max(sizes) < 2 * min(sizes) and sum(sizes) == 20_000
+
+
+def test_a_window_reads_the_row_groups_of_its_days(spark, folder, monkeypatch, capsys):
+    monkeypatch.setattr(L, "DATED_GROUP_BYTES", 200_000)
+    records = _records(spark, 20_000)
+    land_raw(records, f"{folder}/dated", date_tag="c9")
+    window = ("20260110", "20260112")
+    found = read_landed_window(spark, f"{folder}/dated", window, "c9")
+    want = {r["recid"] for r in records.where(business_date("XMLRECORD", "c9").between(*window)).collect()}
+    assert {r["recid"] for r in found.collect()} == want and len(want) > 900
+    found.explain("formatted")
+    plan = capsys.readouterr().out
+    assert "GreaterThanOrEqual(business_date,20260110)" in plan and "LessThanOrEqual(business_date,20260112)" in plan
+    groups, needed = 0, 0
+    for name in glob.glob(f"{folder}/dated/*.parquet"):
+        meta = pq.ParquetFile(name).metadata
+        at = meta.schema.names.index("business_date")
+        for k in range(meta.num_row_groups):
+            stats = meta.row_group(k).column(at).statistics
+            groups += 1
+            needed += bool(stats.has_min_max and stats.min <= window[1] and stats.max >= window[0])
+    assert groups > 30 and needed <= groups / 5
+    # records without a date are landed too, and in no window
+    landed = read_landed(spark, f"{folder}/dated")
+    assert landed.count() == 20_000 and landed.where("business_date IS NULL").count() == 200
+
+
+def test_a_window_of_records_landed_without_dates(spark, folder):
+    land_raw(_records(spark, 500), f"{folder}/plain")
+    window = ("20260110", "20260112")
+    dated = read_landed_window(spark, f"{folder}/plain", window, "c9")
+    assert {r["business_date"] for r in dated.collect()} == {"20260110", "20260111", "20260112"}
+    assert read_landed_window(spark, f"{folder}/plain", None, "c9").count() == 500
+
+
 def test_file_listing(spark, folder):
     assert not path_exists(spark, f"{folder}/x")
     assert list_files(spark, [f"{folder}/x"]).count() == 0
