@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from celloom.functions import cells as C
 from celloom.functions.xml import parse_xml, xml_schema
@@ -13,6 +13,7 @@ from celloom.operators.shapes import LIST, NESTED, SCALAR, Shapes, list_shapes,
 
 XML_COLUMN = "XMLRECORD"
 PARSED = "_parsed"
+_CORRUPT = "_corrupt"
 
 
 def parse_config(rows: Iterable[LookupRow], xml_column: str = XML_COLUMN) -> tuple[list, dict]:
@@ -21,15 +22,19 @@ def parse_config(rows: Iterable[LookupRow], xml_column: str = XML_COLUMN) -> tup
 
 
 def with_cells(
-    df: DataFrame, rows: Iterable[LookupRow], xml_column: str = XML_COLUMN, into: str = PARSED
+    df: DataFrame,
+    rows: Iterable[LookupRow],
+    xml_column: str = XML_COLUMN,
+    into: str = PARSED,
+    corrupt_column: str | None = None,
 ) -> DataFrame:
-    return df.withColumn(into, parse_xml(xml_column, xml_schema(rows)))
+    return df.withColumn(into, parse_xml(xml_column, xml_schema(rows), corrupt_column))
 
 
 def corrupt_rows(df: DataFrame, rows: Iterable[LookupRow], xml_column: str = XML_COLUMN) -> DataFrame:
     """The rows whose XML does not parse."""
-    parsed = parse_xml(xml_column, xml_schema(rows), corrupt_column="_corrupt")
-    return df.where(parsed["_corrupt"].isNotNull())
+    parsed = parse_xml(xml_column, xml_schema(rows), corrupt_column=_CORRUPT)
+    return df.where(parsed[_CORRUPT].isNotNull())
 
 
 def wide_column(row: LookupRow, shape: str, parsed: str = PARSED) -> str:
@@ -42,6 +47,14 @@ def wide_column(row: LookupRow, shape: str, parsed: str = PARSED) -> str:
     return f"{build(cells)} AS `{row.name}`"
 
 
+def chosen_rows(lookup: Sequence[LookupRow], columns: int | Iterable[str] | None) -> list[LookupRow]:
+    """The lookup's rows: all, the first so many, or those of some columns."""
+    rows = list(lookup)
+    if columns is None:
+        return rows
+    return leading_columns(rows, columns) if isinstance(columns, int) else named_columns(rows, columns)
+
+
 def parse_wide(
     df: DataFrame,
     lookup: Sequence[LookupRow],
@@ -50,22 +63,45 @@ def parse_wide(
     normalize: bool = True,
     shapes: Shapes | None = None,
     xml_column: str = XML_COLUMN,
+    corrupt: str | None = None,
 ) -> DataFrame:
     """One wide column per lookup row, then the ``keep`` columns.
 
+    ``corrupt`` names a column more, of the same parse: the XML of rows that do
+    not parse, NULL in all others.
+
     Shapes come from the whole batch unless given. With ``normalize`` a list
     column whose lists all hold at most one item is read as a scalar straight
     from the cells; without it every column is a list, or a list of lists.
     Only tags of the chosen columns enter the XML schema: the optimizer does
     not prune it, and each mapped tag costs parse time.
     """
-    rows = list(lookup)
-    if columns is not None:
-        rows = leading_columns(rows, columns) if isinstance(columns, int) else named_columns(rows, columns)
+    rows = chosen_rows(lookup, columns)
     if shapes is None:
         shapes = profile_shapes(df, rows, xml_column, normalize)
     elif not normalize:
         shapes = list_shapes(shapes)
-    return with_cells(df, rows, xml_column).selectExpr(
-        *[wide_column(r, shapes[r.name]) for r in rows], *[f"`{c}`" for c in keep]
+    kept = [f"`{c}`" for c in keep]
+    if corrupt is not None:
+        kept.append(f"{PARSED}.`{_CORRUPT}` AS `{corrupt}`")
+    return with_cells(df, rows, xml_column, corrupt_column=corrupt and _CORRUPT).selectExpr(
+        *[wide_column(r, shapes[r.name]) for r in rows], *kept
+    )
+
+
+def tag_census(df: DataFrame, lookup: Iterable[LookupRow], xml_column: str = XML_COLUMN) -> DataFrame:
+    """(tag, mapped, row_count): every element that stands right under a record's root, in how many records, and
+    whether the lookup takes it.
+
+    The records are parsed once, whole, as VARIANT, for which no schema is
+    needed. Names are in lower case, as the parser matches them. Attributes of
+    the root are not elements; records that do not parse have none.
+    """
+    mapped = sorted({r.tag.lower() for r in lookup})
+    whole = df.select(F.expr(f"from_xml(`{xml_column}`, 'variant', map('rowTag', 'row'))").alias("_record"))
+    found = whole.lateralJoin(whole.sparkSession.tvf.variant_explode_outer(F.col("_record").outer()))
+    tag = F.lower("key")
+    seen = found.where(F.col("key").isNotNull() & ~F.startswith("key", F.lit("_"))).groupBy(tag.alias("tag"))
+    return seen.agg(F.count(F.lit(1)).alias("row_count")).select(
+        "tag", F.col("tag").isin(*mapped).alias("mapped"), "row_count"
     )

@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from celloom.model import Dataset, Window
+from celloom.model import Dataset, Window, select_datasets
 from celloom.operators.quality import count_by_date, gap_lines, gap_summary, gaps, report
 
 # (dataset, window) -> DataFrame(business_date, row_count), counted by the source
@@ -27,12 +27,14 @@ class GapCheck:
 
 
 def check_gaps(
-    datasets: Iterable[Dataset],
+    datasets: Iterable[Dataset] | str,
     source_counts: SourceCounts,
     target_rows: TargetRows,
     window: Window | None = None,
 ) -> GapCheck:
-    """Both sides counted per business date, within the window if there is one."""
+    """Datasets, given or selected by name: both sides counted per business date, within the window if there is one."""
+    if isinstance(datasets, str):
+        datasets = select_datasets(datasets)
     summaries, lines = [], []
     for turn, d in enumerate(datasets):
         source = source_counts(d, window)

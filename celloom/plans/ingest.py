@@ -6,8 +6,9 @@ import logging
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from celloom.functions.xml import business_date, in_window
 from celloom.model import (
@@ -15,16 +16,21 @@ from celloom.model import (
     LookupRow,
     RunMode,
     Window,
+    full_name,
     landing_path,
     new_load_id,
     resolve_window,
     resolve_write_mode,
+    select_datasets,
 )
-from celloom.operators.parsing import parse_wide
-from celloom.sources.files import remove_folder
+from celloom.operators.parsing import chosen_rows, parse_wide
+from celloom.operators.storage import file_totals
+from celloom.plans.together import run_together
+from celloom.sources.files import data_files, remove_folder
 from celloom.sources.jdbc import JdbcSource, read_records
 from celloom.sources.landing import land_raw, read_landed
-from celloom.table import State, WideTable
+from celloom.sources.shapes import landed_shapes
+from celloom.table import BUCKETS, State, WideTable
 
 log = logging.getLogger(__name__)
 
@@ -60,8 +66,9 @@ class IngestResult:
     error: str | None = None
 
 
-def target_path(dataset: Dataset, root: str) -> str:
-    return f"{root.rstrip('/')}/{dataset.target_table.replace('.', '/')}"
+def target_path(dataset: Dataset, root: str, namespace: str = "bronze") -> str:
+    """A folder a part of the table's name; one without a namespace is in the default one."""
+    return "/".join([root.rstrip("/"), *filter(None, full_name(dataset.target_table, "", namespace).split("."))])
 
 
 def ingest(
@@ -78,27 +85,43 @@ def ingest(
     columns: int | Iterable[str] | None = None,
     max_records_per_file: int = 0,
     count_target: bool = True,
+    spread: bool | None = None,
+    land_dates: bool = False,
+    buckets: int = BUCKETS,
 ) -> IngestResult:
     """One dataset, once. An empty batch leaves no landing and no change to the table.
 
     The batch is landed first and only read back from there, so the source is
-    asked once: whether there are rows is told by the landed files. ``count_target``
-    counts the table after a merge, for which its key column is read.
+    asked once: whether there are rows, and how many bytes, is told by the landed
+    files. The bytes decide on the table's buckets, at least ``buckets``. Records
+    are spread before they are landed unless the mode's source connections are
+    as many as the cores, or ``spread`` says otherwise; ``land_dates`` lands them
+    by business date. ``count_target`` counts the table after a merge, for which
+    its key column is read.
     """
     batch = records(dataset, mode, resolve_window(mode, window, today))
     path = landing_path(dataset, raw_root, load_id or new_load_id())
-    land_raw(batch, path, max_records_per_file=max_records_per_file)
+    if spread is None:
+        spread = mode.source_partitions < spark.sparkContext.defaultParallelism
+    land_raw(
+        batch,
+        path,
+        max_records_per_file=max_records_per_file,
+        spread=spread,
+        date_tag=dataset.date_tag if land_dates else None,
+    )
     landed = read_landed(spark, path)
-    rows = landed.count()  # footers only
+    there = file_totals(data_files(spark, [path])).first()  # footers only
+    rows = there["stored_records"]
     if not rows:
         remove_folder(spark, path)
         log.warning("%s: the source has nothing for this run", dataset.name)
         return IngestResult(dataset.name, 0, None, None)
-    wide = parse_wide(
-        landed, lookup, keep=(dataset.merge_key,), columns=columns, normalize=dataset.normalize
-    )
-    table = WideTable(spark, target_path(dataset, table_root), dataset.merge_key)
-    commit = table.load(wide, resolve_write_mode(mode, window))
+    rows_asked = chosen_rows(lookup, columns)
+    shapes = landed_shapes(spark, [path], rows_asked)
+    wide = parse_wide(landed, rows_asked, keep=(dataset.merge_key,), normalize=dataset.normalize, shapes=shapes)
+    table = WideTable(spark, target_path(dataset, table_root), dataset.merge_key, buckets=buckets)
+    commit = table.load(wide, resolve_write_mode(mode, window), there["bytes"])
     total = commit.live_rows
     if total is None and count_target:
         total = table.read().count()
@@ -106,26 +129,65 @@ def ingest(
     return IngestResult(dataset.name, rows, path, commit, total)
 
 
+def reparse(
+    spark: SparkSession,
+    dataset: Dataset,
+    load_ids: Sequence[str],
+    lookup: Sequence[LookupRow],
+    raw_root: str,
+    table_root: str,
+    columns: int | Iterable[str] | None = None,
+    buckets: int = BUCKETS,
+) -> State:
+    """The table replaced by a fresh parse of some landed runs; of a key in several, the latest run's record stays.
+
+    The runs' records are parsed once: what shapes their columns take is kept
+    with each landing and merged, and looked for only where it is not there yet.
+    """
+    paths = [landing_path(dataset, raw_root, load) for load in load_ids]
+    rows = chosen_rows(lookup, columns)
+    shapes = landed_shapes(spark, paths, rows)
+    turns = [read_landed(spark, p).select("recid", "XMLRECORD", F.lit(k).alias("turn")) for k, p in enumerate(paths)]
+    records = reduce(DataFrame.unionByName, turns)
+    if len(turns) > 1:
+        # which runs' records stay is decided before any XML is looked at; those without a key all do
+        last = records.where("recid IS NOT NULL").groupBy(F.col("recid").alias("key")).agg(F.max("turn").alias("last"))
+        latest = (F.col("recid") == F.col("key")) & (F.col("turn") == F.col("last"))
+        records = records.join(last, latest, "left_semi").unionByName(records.where("recid IS NULL"))
+    wide = parse_wide(records, rows, keep=(dataset.merge_key,), normalize=dataset.normalize, shapes=shapes)
+    size = file_totals(data_files(spark, paths)).first()["bytes"]
+    return WideTable(spark, target_path(dataset, table_root), dataset.merge_key, buckets=buckets).replace(wide, size)
+
+
 def ingest_all(
     spark: SparkSession,
-    datasets: Iterable[Dataset],
+    datasets: Iterable[Dataset] | str,
     mode: RunMode,
     records: RecordSource,
     lookups: Callable[[Dataset], Sequence[LookupRow]],
     raw_root: str,
     table_root: str,
+    at_once: int = 4,
+    seconds: float | None = None,
     **options,
 ) -> list[IngestResult]:
-    """Each dataset in turn; one that fails is reported and the others still run."""
+    """Datasets, given or selected by name, at the same time, ``at_once`` of them.
+
+    One that fails, or takes longer than ``seconds``, is reported, its jobs are
+    cancelled and the others still run.
+    """
+    if isinstance(datasets, str):
+        datasets = select_datasets(datasets)
+    work = {
+        d.name: lambda d=d: ingest(spark, d, mode, records, lookups(d), raw_root, table_root, **options)
+        for d in datasets
+    }
     results = []
-    for d in datasets:
-        try:
-            results.append(
-                ingest(spark, d, mode, records, lookups(d), raw_root, table_root, **options)
-            )
-        except Exception as e:
-            log.exception("%s failed", d.name)
-            results.append(IngestResult(d.name, 0, None, None, error=str(e)))
+    for name, result in run_together(spark, work, at_once, seconds).items():
+        if isinstance(result, Exception):
+            log.error("%s failed", name, exc_info=result)
+            result = IngestResult(name, 0, None, None, error=str(result) or type(result).__name__)
+        results.append(result)
     return results
 
 

@@ -1,3 +1,5 @@
+import random
+from dataclasses import replace
 from datetime import date
 
 import pytest
@@ -5,9 +7,12 @@ from pyspark.sql import functions as F
 
 from celloom.model import DAILY, DATASETS, HISTORY, LookupRow
 from celloom.operators import quality as Q
+from celloom.operators.shapes import profile_shapes
 from celloom.plans.gapcheck import check_gaps
-from celloom.plans.ingest import dataframe_records, exit_code, ingest, ingest_all, target_path
-from celloom.sources.files import path_exists
+from celloom.plans.ingest import dataframe_records, exit_code, ingest, ingest_all, reparse, target_path
+from celloom.sources.files import data_files, path_exists
+from celloom.sources.landing import land_raw, read_landed
+from celloom.sources.shapes import kept_shapes, landed_shapes
 from celloom.table import WideTable
 
 ACCOUNT = DATASETS["account"]
@@ -182,3 +187,89 @@ def test_check_over_datasets(spark):
     assert {r["dataset"]: r["gap_dates"] for r in check.summary.collect()} == {"account": 1, "loan": 0}
     assert [r["line"] for r in check.report().collect()] == ["account 20260101: oracle=2 bronze=1 (missing 1)"]
     assert check.lines.where(F.col("dataset") == "loan").isEmpty()
+
+
+def _shapes_are_not_looked_for(monkeypatch):
+    def refuse(*args, **options):
+        raise AssertionError("records were searched for shapes")
+
+    monkeypatch.setattr("celloom.sources.shapes.profile_shapes", refuse)
+
+
+def test_shapes_are_kept_with_a_landing(spark, folder, monkeypatch):
+    df = _records(spark, [(1, "20260101", "ab"), (2, "20260102", "c")])
+    _run(spark, folder, df, HISTORY, load_id="L1", columns=["v"])
+    path = f"{folder}/raw/account_raw/load_id=L1"
+    assert kept_shapes(spark, path) == {("c1", None): "list"}
+    assert landed_shapes(spark, [path], LOOKUP) == {"v": "list", "date_last_update": "scalar"}
+    assert read_landed(spark, path).count() == 2
+    _shapes_are_not_looked_for(monkeypatch)
+    assert landed_shapes(spark, [path], [LookupRow("c167", None, "other name")]) == {"other name": "scalar"}
+    state = reparse(spark, ACCOUNT, ["L1"], LOOKUP, f"{folder}/raw", f"{folder}/again")
+    assert state.live_rows == 2
+
+
+def test_reparse_equals_the_loads(spark, folder, monkeypatch):
+    _run(spark, folder, _records(spark, [(1, "20260101", "a"), (2, "20260102", "b"), (3, None, "c")]), HISTORY, load_id="L1")
+    second = _records(spark, [(2, "20260103", ["x", "y"]), (4, "20260103", "z")])
+    _run(spark, folder, second, DAILY, load_id="L2", today=date(2026, 1, 3))
+    _shapes_are_not_looked_for(monkeypatch)
+    reparse(spark, ACCOUNT, ["L1", "L2"], LOOKUP, f"{folder}/raw", f"{folder}/again")
+    again = WideTable(spark, target_path(ACCOUNT, f"{folder}/again"))
+    assert _rows(again.read()) == _rows(_table(spark, folder).read())
+
+
+def test_merged_shapes_equal_those_of_all_records(spark, folder):
+    rng = random.Random(6)
+    tags = [f"c{k}" for k in range(1, 8)]
+    rows = [LookupRow(t, m, f"{t}_{m}") for t in tags for m in (None, 1, 2)]
+    paths, batches = [], []
+    for load in range(4):
+        xml = []
+        for k in range(30):
+            cells = "".join(
+                f'<{t}{"".join(f" {a}=\"{rng.randint(1, 2)}\"" for a in "ms" if rng.random() < 0.08)}>v</{t}>'
+                for t in tags
+                if rng.random() < 0.4
+            )
+            xml.append((f"{load}-{k}", f"<row>{cells}</row>"))
+        df = spark.createDataFrame(xml, "recid string, XMLRECORD string")
+        paths.append(f"{folder}/load_id={load}")
+        land_raw(df, paths[-1])
+        batches.append(df)
+        landed_shapes(spark, paths[-1:], rows)
+    whole = batches[0].union(batches[1]).union(batches[2]).union(batches[3])
+    merged = landed_shapes(spark, paths, rows)
+    assert merged == profile_shapes(whole, rows)
+    assert set(merged.values()) == {"scalar", "list", "nested"}
+
+
+def test_datasets_are_selected_by_name(spark, folder):
+    df = _records(spark, [(1, "20260101", "a")])
+    results = ingest_all(spark, "loan account nope", HISTORY, dataframe_records(df), lambda d: LOOKUP, f"{folder}/raw", f"{folder}/t")
+    assert [(r.dataset, r.target_rows) for r in results] == [("account", 1), ("loan", 1)]
+    with pytest.raises(ValueError):
+        ingest_all(spark, "nope", HISTORY, dataframe_records(df), lambda d: LOOKUP, f"{folder}/raw", f"{folder}/t")
+
+
+def test_the_tables_buckets_follow_the_landed_bytes(spark, folder, monkeypatch):
+    seen = []
+    monkeypatch.setattr("celloom.table.bucket_count", lambda size, least: seen.append(size) or 2 * least)
+    done = _run(spark, folder, _records(spark, [(k, "20260101", "a") for k in range(50)]), HISTORY, load_id="L1", buckets=4)
+    assert done.commit.parts[0].buckets == 8 and done.target_rows == 50
+    assert seen == [sum(f["file_size_in_bytes"] for f in data_files(spark, [done.landed]).collect())]
+
+
+def test_a_daily_batch_is_parsed_by_several_tasks(spark, folder):
+    """One source connection, but the landing has files for several parse tasks."""
+    text = F.concat(*[F.sha2(F.concat("id", F.lit(f"-{k}")), 256) for k in range(8)])
+    xml = F.concat(F.lit("<row><c1>"), text, F.lit("</c1><c167>20260103</c167></row>"))
+    df = spark.range(20_000, numPartitions=1).select(F.col("id").cast("string").alias("recid"), xml.alias("XMLRECORD"))
+    done = _run(spark, folder, df, DAILY, load_id="L1", today=date(2026, 1, 3))
+    assert done.source_rows == 20_000
+    assert data_files(spark, [done.landed]).count() >= 4
+
+
+def test_a_table_without_a_namespace():
+    assert target_path(ACCOUNT, "/t/") == "/t/bronze/account_wide"
+    assert target_path(replace(ACCOUNT, target_table="wide"), "/t") == "/t/bronze/wide"
