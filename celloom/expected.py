@@ -111,6 +111,19 @@ EXPECTED: dict[str, str] = {
         SELECT recid, CAST(supplier AS VARCHAR) AS explicit_first,
                replace({_DENSE}, ',', ';') AS dense_list
         FROM line""",
+    "tag_census": """
+        SELECT tag, tag IN ('c1', 'c20', 'c46', 'c0') AS mapped, count(*) AS row_count
+        FROM (
+            SELECT unnest(['c1', 'c8', 'c20', 'c28', 'c46', 'c47', 'c48', 'c49', 'c167']) AS tag FROM lineitem
+            UNION ALL SELECT 'c50' FROM lineitem WHERE l_linestatus = 'F'
+        )
+        GROUP BY tag""",
+    "corrupt_records": f"""
+        SELECT CASE WHEN o_orderstatus <> 'O' THEN CAST(o_custkey AS VARCHAR) END AS customer,
+               CASE WHEN o_orderstatus <> 'O' THEN {_DAY} END AS order_date,
+               CAST(o_orderkey AS VARCHAR) AS recid,
+               CASE WHEN o_orderstatus = 'O' THEN true END AS corrupt
+        FROM orders""",
     "lookup_load": """
         SELECT 'c' || p_partkey AS field_index,
                CASE WHEN p_size % 2 = 0 THEN CAST(p_size AS BIGINT) END AS m_index,
@@ -169,6 +182,10 @@ EXPECTED: dict[str, str] = {
     "raw_landing": f"""
         SELECT recid, load_id, business_date
         FROM ({_DATED}), (VALUES ('20260101T000000'), ('20260102T000000')) loads(load_id)""",
+    "reland_overwrite": """
+        SELECT CAST(o_orderkey AS VARCHAR) AS recid, '20260101T000000' AS load_id
+        FROM orders WHERE o_orderstatus = 'F'""",
+    "landed_window": f"SELECT * FROM ({_DATED}) WHERE business_date BETWEEN '19960101' AND '19961231'",
     "hash_split": """
         SELECT CAST(o_orderkey AS VARCHAR) AS recid, count(*) AS row_count,
                CAST(16 AS BIGINT) AS filled_buckets
@@ -203,11 +220,24 @@ EXPECTED: dict[str, str] = {
                     ELSE o_orderstatus END AS status,
                {_DAY} AS order_date, CAST(o_custkey AS VARCHAR) AS customer
         FROM orders""",
+    "reparse_landed": f"""
+        SELECT CAST(o_orderkey AS VARCHAR) AS recid,
+               CASE WHEN {_DAY} BETWEEN '19960101' AND '19961231' THEN lower(o_orderstatus)
+                    ELSE o_orderstatus END AS status,
+               {_DAY} AS order_date, array_to_string(regexp_split_to_array(o_orderpriority, '[- ]+'), ',') AS priority
+        FROM orders""",
     "daily_merge": f"""
         SELECT CAST(o_orderkey AS VARCHAR) AS recid,
                CASE WHEN {_DAY} = '19960305' THEN lower(o_orderstatus) ELSE o_orderstatus END AS status,
                {_DAY} AS order_date, CAST(o_custkey AS VARCHAR) AS customer
         FROM orders""",
+    "empty_batch": """
+        SELECT CAST(o_orderkey AS VARCHAR) AS recid, CAST(0 AS BIGINT) AS second_rows, CAST(1 AS BIGINT) AS loads
+        FROM orders""",
+    "ingest_datasets": """
+        SELECT 'orders' AS dataset, count(*) AS source_rows, count(*) AS target_rows, false AS failed FROM orders
+        UNION ALL SELECT 'lines', count(*), count(*), false FROM lineitem
+        UNION ALL SELECT 'broken', 0, NULL, true""",
     "reconcile_add_missing": f"""
         SELECT CAST(o_orderkey AS VARCHAR) AS recid,
                CASE WHEN o_orderstatus = 'F' THEN {_TEXT} END AS old_text,
@@ -248,6 +278,28 @@ EXPECTED: dict[str, str] = {
                CASE WHEN o_orderstatus = 'F' THEN 'merged' ELSE o_orderstatus END AS status,
                {_PRICE} AS price, true AS fewer_files
         FROM orders""",
+    "compact_to_size": """
+        SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS recid, l_returnflag AS flag,
+               sha256(concat_ws('-', l_orderkey, l_linenumber)) AS digest,
+               true AS none_above, true AS none_small, true AS settled
+        FROM lineitem""",
+    "merge_keyless": f"""
+        SELECT recid, status, price, count(*) * CASE WHEN recid IS NULL THEN 2 ELSE 1 END AS row_count
+        FROM (
+            SELECT CASE WHEN o_orderstatus = 'F' THEN CAST(o_orderkey AS VARCHAR) END AS recid,
+                   o_orderstatus AS status, {_PRICE} AS price
+            FROM orders
+        )
+        GROUP BY recid, status, price""",
+    "maintenance_run": """
+        SELECT 'bronze/orders_wide' AS name, false AS dry, true AS published,
+               count(*) + count(*) FILTER (WHERE o_orderstatus = 'F') AS stored_before,
+               count(*) AS stored_after, count(*) AS live_rows
+        FROM orders
+        UNION ALL
+        SELECT 'silver/customer_wide', false, true,
+               count(*) + count(*) FILTER (WHERE c_mktsegment = 'BUILDING'), count(*), count(*)
+        FROM customer""",
     "next_key": """
         SELECT CAST(coalesce(max(o_orderkey) + 1, 100) AS BIGINT) AS next_key
         FROM orders WHERE o_orderkey >= 100""",

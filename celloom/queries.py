@@ -17,17 +17,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from celloom import fixtures as X
 from celloom.functions.xml import business_date, in_window
 from celloom.model import DAILY, HISTORY, Dataset
+from celloom.operators import parsing as P
 from celloom.operators import quality as Q
 from celloom.operators import storage as S
 from celloom.operators.parsing import PARSED, parse_wide, with_cells
 from celloom.operators.reconcile import fit_batch, migrate_table, reconciled_schema
 from celloom.operators.shapes import LIST, NESTED, list_sizes, normalize_arrays, sub_value_tags
 from celloom.plans.gapcheck import GapCheck, check_gaps
-from celloom.plans.ingest import dataframe_records, ingest
-from celloom.plans.maintenance import compact
+from celloom.plans.ingest import dataframe_records, ingest, ingest_all, reparse
+from celloom.plans.maintenance import compact, maintain
 from celloom.sources.generator import next_key, stamp_records
 from celloom.sources.jdbc import hash_bucket
-from celloom.sources.landing import land_raw, read_all_landed, read_landed
+from celloom.sources.landing import land_raw, read_all_landed, read_landed, read_landed_window
 from celloom.sources.lookup import read_lookup
 from celloom.table import WideTable
 from celloom.workspace import new_folder
@@ -47,12 +48,17 @@ def _orders(spark: SparkSession, folder: str) -> DataFrame:
     return _table(spark, folder, "orders")
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """Narrow rows of a small file over the cores, before each becomes a record of XML."""
+    return rows.hint("rebalance")
+
+
 def _order_records(spark: SparkSession, folder: str) -> DataFrame:
-    return X.order_records(_orders(spark, folder))
+    return X.order_records(_spread(_orders(spark, folder)))
 
 
 def _line_records(spark: SparkSession, folder: str) -> DataFrame:
-    return X.line_records(_table(spark, folder, "lineitem"))
+    return X.line_records(_spread(_table(spark, folder, "lineitem")))
 
 
 def _landed(records: DataFrame) -> DataFrame:
@@ -167,6 +173,20 @@ def pinned_shapes(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def tag_census(spark: SparkSession, folder: str) -> DataFrame:
+    """Which tags the records of all lines hold, and which of them a short lookup leaves out."""
+    return P.tag_census(_line_records(spark, folder), _line_rows("return_flag", "part", "dense_list", "never_there"))
+
+
+def corrupt_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders of which those of status O are cut before their end: told by the parse that makes the columns."""
+    xml = F.col("XMLRECORD")
+    cut = F.when(xml.contains("<c8>O</c8>"), F.left(xml, F.length(xml) - F.lit(4))).otherwise(xml)
+    records = _landed(_order_records(spark, folder).withColumn("XMLRECORD", cut))
+    wide = parse_wide(records, X.ORDER_LOOKUP, columns=["customer", "order_date"], corrupt="corrupt")
+    return wide.withColumn("corrupt", F.length("corrupt") > 0)
+
+
 def lookup_load(spark: SparkSession, folder: str) -> DataFrame:
     """A mapping file made of the part table, read for one of its table names."""
     path = new_folder(spark, "lookup")
@@ -209,7 +229,7 @@ def _with_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 def _gap_check(spark: SparkSession, folder: str, window=None) -> GapCheck:
     records = _landed(_order_records(spark, folder))
-    target = parse_wide(_landed(X.order_records(_with_lines(spark, folder))), X.ORDER_LOOKUP)
+    target = parse_wide(_landed(X.order_records(_spread(_with_lines(spark, folder)))), X.ORDER_LOOKUP)
     return check_gaps(
         [ORDERS],
         lambda d, w: Q.count_xml_by_date(records, d.date_tag, w),
@@ -221,7 +241,8 @@ def _gap_check(spark: SparkSession, folder: str, window=None) -> GapCheck:
 def _both_counts(spark: SparkSession, folder: str, window=None) -> tuple[DataFrame, DataFrame]:
     """Records counted by the date in their XML, a table by its date column."""
     source = Q.count_xml_by_date(_order_records(spark, folder), "c167", window)
-    wide = parse_wide(X.order_records(_with_lines(spark, folder)), X.ORDER_LOOKUP, columns=["order_date"])
+    landed = _landed(X.order_records(_spread(_with_lines(spark, folder))))
+    wide = parse_wide(landed, X.ORDER_LOOKUP, columns=["order_date"])
     return source, Q.count_by_date(wide, "order_date", window)
 
 
@@ -278,6 +299,22 @@ def raw_landing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def reland_overwrite(spark: SparkSession, folder: str) -> DataFrame:
+    """A run landed again under its own load id, on purpose: the later records replace the earlier."""
+    root = new_folder(spark, "reland")
+    orders = _orders(spark, folder)
+    for rows in (orders, orders.where("o_orderstatus = 'F'")):
+        land_raw(X.order_records(_spread(rows)), f"{root}/load_id=20260101T000000", mode="overwrite")
+    return read_all_landed(spark, root).select("recid", F.col("load_id").cast("string").alias("load_id"))
+
+
+def landed_window(spark: SparkSession, folder: str) -> DataFrame:
+    """Records landed by business date, a year of them read: the filter is the scan's."""
+    path = new_folder(spark, "dated")
+    land_raw(_order_records(spark, folder), path, date_tag="c167")
+    return read_landed_window(spark, path, WINDOW, "c167").select("recid", "business_date")
+
+
 def hash_split(spark: SparkSession, folder: str) -> DataFrame:
     """Records read bucket by bucket: how often each is read, and how many buckets have any."""
     records = _order_records(spark, folder).select("recid", hash_bucket("recid", 16).alias("pkey"))
@@ -363,31 +400,44 @@ def ingest_history(spark: SparkSession, folder: str) -> DataFrame:
     return wide.withColumn("priority", joined("priority"))
 
 
-def windowed_history_merge(spark: SparkSession, folder: str) -> DataFrame:
-    """All orders loaded, then one year of changed orders: the other years stay."""
-    root = new_folder(spark, "window")
+def _two_runs(spark: SparkSession, folder: str, root: str) -> list[str]:
+    """All orders loaded, then one year of changed orders; the load ids."""
     orders = _orders(spark, folder)
     status = F.col("o_orderstatus")
     changed = orders.withColumn("o_orderstatus", F.when(status != "P", F.lower(status)).otherwise(status))
-    for df, window, load_id in (
-        (orders, None, "20260101T000000"),
-        (changed, WINDOW, "20260102T000000"),
-    ):
+    loads = ["20260101T000000", "20260102T000000"]
+    for df, window, load_id in ((orders, None, loads[0]), (changed, WINDOW, loads[1])):
         ingest(
             spark,
             ORDERS,
             HISTORY,
-            dataframe_records(X.order_records(df)),
+            dataframe_records(X.order_records(_spread(df))),
             X.ORDER_LOOKUP,
             f"{root}/raw",
             f"{root}/tables",
             window=window,
             load_id=load_id,
         )
+    return loads
+
+
+def windowed_history_merge(spark: SparkSession, folder: str) -> DataFrame:
+    """All orders loaded, then one year of changed orders: the other years stay."""
+    root = new_folder(spark, "window")
+    _two_runs(spark, folder, root)
     table = WideTable(spark, f"{root}/tables/bronze/orders_wide")
     return table.read().select("recid", "status", "order_date", "customer")
 
 
+def reparse_landed(spark: SparkSession, folder: str) -> DataFrame:
+    """Two landed runs parsed once more into another table, by the shapes that are kept with them."""
+    root = new_folder(spark, "reparse")
+    loads = _two_runs(spark, folder, root)
+    reparse(spark, ORDERS, loads, X.ORDER_LOOKUP, f"{root}/raw", f"{root}/again")
+    wide = WideTable(spark, f"{root}/again/bronze/orders_wide").read()
+    return wide.select("recid", "status", "order_date", joined("priority").alias("priority"))
+
+
 def daily_merge(spark: SparkSession, folder: str) -> DataFrame:
     """All orders loaded, then one day's run over changed orders: only that day's change."""
     root = new_folder(spark, "daily")
@@ -399,7 +449,7 @@ def daily_merge(spark: SparkSession, folder: str) -> DataFrame:
             spark,
             ORDERS,
             mode,
-            dataframe_records(X.order_records(df)),
+            dataframe_records(X.order_records(_spread(df))),
             X.ORDER_LOOKUP,
             f"{root}/raw",
             f"{root}/tables",
@@ -410,6 +460,51 @@ def daily_merge(spark: SparkSession, folder: str) -> DataFrame:
     return table.read().select("recid", "status", "order_date", "customer")
 
 
+def empty_batch(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders loaded, then a run over a window without any: nothing is landed, the table stays."""
+    root = new_folder(spark, "empty")
+    results = [
+        ingest(
+            spark,
+            ORDERS,
+            HISTORY,
+            dataframe_records(_order_records(spark, folder)),
+            X.ORDER_LOOKUP,
+            f"{root}/raw",
+            f"{root}/tables",
+            window=window,
+            load_id=load_id,
+        )
+        for window, load_id in ((None, "20260101T000000"), (("18000101", "18001231"), "20260102T000000"))
+    ]
+    loads = read_all_landed(spark, f"{root}/raw/orders_raw").select("load_id").distinct().count()
+    table = WideTable(spark, f"{root}/tables/bronze/orders_wide").read()
+    return table.select(
+        "recid", F.lit(results[1].source_rows).cast("bigint").alias("second_rows"), F.lit(loads).cast("bigint").alias("loads")
+    )
+
+
+BROKEN = Dataset("broken", "nowhere", "bronze.broken_wide", "c167", "order_date")
+
+
+def ingest_datasets(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders, lines and a dataset without a source in one run, at the same time: what each reports."""
+    root = new_folder(spark, "datasets")
+    sources = {"orders": _order_records(spark, folder), "lines": _line_records(spark, folder)}
+    lookups = {"orders": X.ORDER_LOOKUP, "lines": _line_rows("return_flag", "ship_date", "dense_list")}
+    results = ingest_all(
+        spark,
+        [ORDERS, BROKEN, LINES],
+        HISTORY,
+        lambda d, mode, window: sources[d.name],
+        lambda d: lookups.get(d.name, ()),
+        f"{root}/raw",
+        f"{root}/tables",
+    )
+    rows = [(r.dataset, r.source_rows, r.target_rows, r.error is not None) for r in results]
+    return spark.createDataFrame(rows, "dataset string, source_rows bigint, target_rows bigint, failed boolean")
+
+
 def _depths(orders: DataFrame, *depths: int) -> DataFrame:
     """recid and one column per depth asked for; status P has no values."""
     text = F.when(F.col("o_orderstatus") != "P", F.col("o_orderpriority"))
@@ -525,6 +620,77 @@ def compact_preserves_rows(spark: SparkSession, folder: str) -> DataFrame:
     return table.read().withColumn("fewer_files", F.lit(fewer))
 
 
+def compact_to_size(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines merged order year by order year into a table, then written to files of a target size.
+
+    No file is above the target, and none small, which a bucket's only file may be.
+    """
+    lines = _table(spark, folder, "lineitem").select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("recid"),
+        F.col("l_returnflag").alias("flag"),
+        F.sha2(F.concat_ws("-", "l_orderkey", "l_linenumber"), 256).alias("digest"),
+        F.year(F.to_date("l_shipdate")).alias("year"),
+    )
+    table = WideTable(spark, new_folder(spark, "sized"))
+    for first, last in ((0, 1994), (1995, 1996), (1997, 9999)):
+        table.load(lines.where(F.col("year").between(first, last)).drop("year"), "merge")
+    target, small = 96 << 10, 16 << 10
+    compact(table, target_bytes=target, small_bytes=small)
+    again = compact(table, target_bytes=target, small_bytes=small)
+    files = table.files()
+    of_bucket = files.groupBy("bucket").agg(
+        F.max("file_size_in_bytes").alias("largest"), F.min("file_size_in_bytes").alias("least"), F.count("*").alias("n")
+    )
+    kept = of_bucket.agg(
+        (F.max("largest") <= target).alias("none_above"),
+        (F.count_if((F.col("least") < small) & (F.col("n") > 1)) == 0).alias("none_small"),
+    )
+    return table.read().crossJoin(kept).withColumn("settled", F.lit(not again.published))  # one row
+
+
+def merge_keyless(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders of which a half has no key, merged twice: rows without a key are never overwritten."""
+    orders = _order_rows(_orders(spark, folder))
+    key = F.when(F.col("status") == "F", F.col("recid"))
+    table = WideTable(spark, new_folder(spark, "keyless"))
+    for _ in range(2):
+        table.load(orders.withColumn("recid", key), "merge")
+    compact(table)
+    return table.read().groupBy("recid", "status", "price").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def maintenance_run(spark: SparkSession, folder: str) -> DataFrame:
+    """Tables below two schemas found, looked at by a dry run, then compacted: counts of each."""
+    root = new_folder(spark, "maintained")
+    orders = _order_rows(_orders(spark, folder))
+    customers = _table(spark, folder, "customer").select(
+        F.col("c_custkey").cast("string").alias("recid"), F.col("c_mktsegment").alias("segment")
+    )
+    for name, first, second in (
+        ("bronze/orders_wide", orders, orders.where("status = 'F'")),
+        ("silver/customer_wide", customers, customers.where("segment = 'BUILDING'")),
+    ):
+        table = WideTable(spark, f"{root}/{name}")
+        table.load(first, "merge")
+        table.load(second, "merge")
+    schemas = ["bronze", "silver", "gold"]
+    dry = {d.table: d.published for d in maintain(spark, root, schemas, check_only=True)}
+    rows = [
+        (
+            d.table.removeprefix(f"{root}/"),
+            dry[d.table],
+            d.published,
+            d.before["stored_records"],
+            d.after["stored_records"],
+            d.after["live_rows"],
+        )
+        for d in maintain(spark, root, schemas)
+    ]
+    return spark.createDataFrame(
+        rows, "name string, dry boolean, published boolean, stored_before bigint, stored_after bigint, live_rows bigint"
+    )
+
+
 # --- keys and generated volume -------------------------------------------
 
 
@@ -569,6 +735,8 @@ QUERIES: dict[str, Query] = {
     "max_list_size": max_list_size,
     "normalize_arrays": normalize,
     "pinned_shapes": pinned_shapes,
+    "tag_census": tag_census,
+    "corrupt_records": corrupt_records,
     "lookup_load": lookup_load,
     "date_extract": date_extract,
     "window_filter": window_filter,
@@ -580,18 +748,26 @@ QUERIES: dict[str, Query] = {
     "gap_report": gap_report,
     "gap_report_datasets": gap_report_datasets,
     "raw_landing": raw_landing,
+    "reland_overwrite": reland_overwrite,
+    "landed_window": landed_window,
     "hash_split": hash_split,
     "merge_upsert": merge_upsert,
     "replace_load": replace_load,
     "ingest_history": ingest_history,
     "windowed_history_merge": windowed_history_merge,
+    "reparse_landed": reparse_landed,
     "daily_merge": daily_merge,
+    "empty_batch": empty_batch,
+    "ingest_datasets": ingest_datasets,
     "reconcile_add_missing": reconcile_add_missing,
     "reconcile_widen_table": reconcile_widen_table,
     "reconcile_wrap_df": reconcile_wrap_batch,
     "file_stats": file_stats,
     "conditional_aggs": conditional_aggs,
     "compact_preserves_rows": compact_preserves_rows,
+    "compact_to_size": compact_to_size,
+    "merge_keyless": merge_keyless,
+    "maintenance_run": maintenance_run,
     "next_key": next_free_key,
     "generate_rows": generate_rows,
 }
