@@ -10,11 +10,14 @@ password made of common words, dates and runs is not.
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import math
 import re
 from collections.abc import Iterator
+from itertools import chain
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
@@ -47,7 +50,11 @@ CONTEXT = re.compile(
 
 KINDS = ("assign", "access", "hex", "guess")
 _ROWS = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm", "abcdefghijklmnopqrstuvwxyz")
-_NEXT = {a + b for row in _ROWS for line in (row, row[::-1]) for a, b in zip(line, line[1:])}
+_STEP = np.zeros((129, 129), bool)
+for _row in _ROWS:
+    for _line in (_row, _row[::-1]):
+        for _a, _b in zip(_line, _line[1:]):
+            _STEP[ord(_a), ord(_b)] = True
 _YEAR, _MONTH, _DAY = r"(?:19|20)\d\d", r"(?:0?[1-9]|1[0-2])", r"(?:0?[1-9]|[12]\d|3[01])"
 _DATES = tuple(
     (re.compile(pattern), math.log10(guesses))
@@ -76,38 +83,68 @@ def _brute(char: str) -> float:
     return math.log10(33 if char < "\x80" else 1000)
 
 
-def _parts(value: str, ranks: dict[str, int]) -> Iterator[tuple[int, int, float]]:
-    """(start, end, cost) of words, dates, repeats and walks in a value."""
-    lower = value.lower()
-    for start in range(len(value)):
-        for end in range(start + 3, min(len(value), start + LONGEST) + 1):
-            if (rank := ranks.get(lower[start:end])) is not None:
-                yield start, end, math.log10(rank + 1) + (0.3 if value[start:end] != lower[start:end] else 0.0)
+def _in_a_row(holds: np.ndarray) -> np.ndarray:
+    """For each place, how many from there on hold."""
+    places = np.arange(len(holds))
+    return np.minimum.accumulate(np.where(holds, len(holds), places)[::-1])[::-1] - places
+
+
+class _Parts:
+    """Words, dates, repeats and walks that begin at a place of a value.
+
+    How far blocks repeat and walks go on is worked out once for all places, so a
+    value of any length and kind takes time in proportion to its length.
+    """
+
+    def __init__(self, value: str, ranks: dict[str, int]):
+        self.value, self.ranks = value, ranks
+        # a character for a character, also where lower case takes two
+        self.lower = "".join(low if len(low := c.lower()) == 1 else c for c in value)
+        codes = np.frombuffer(value.encode("utf-32-le", "surrogatepass"), "<u4")
+        low = np.minimum(np.frombuffer(self.lower.encode("utf-32-le", "surrogatepass"), "<u4"), 128)
+        self.agree = [_in_a_row(codes[:-k] == codes[k:]) for k in range(1, min(LONGEST, len(value) - 1) + 1)]
+        self.walk = _in_a_row(_STEP[low[:-1], low[1:]])
+
+    def at(self, start: int) -> Iterator[tuple[int, float]]:
+        """(end, cost)"""
+        value, lower, n = self.value, self.lower, len(self.value)
+        for end in range(start + 3, min(n, start + LONGEST) + 1):
+            if (rank := self.ranks.get(lower[start:end])) is not None:
+                yield end, math.log10(rank + 1) + (0.3 if value[start:end] != lower[start:end] else 0.0)
         for pattern, cost in _DATES:
             if match := pattern.match(value, start):
-                yield start, match.end(), cost
-        end = start + 1
-        while end < len(value) and lower[end - 1 : end + 1] in _NEXT:
-            end += 1
-        if end - start >= 3:
-            yield start, end, math.log10(80) + math.log10(end - start)
-        for block in range(1, LONGEST + 1):
-            end = start + block
-            while value[end : end + block] == value[start : start + block] and end + block <= len(value):
-                end += block
-            if end - start > max(2, block):
-                yield start, end, sum(map(_brute, value[start : start + block])) + math.log10((end - start) // block)
-
-
-def guess_cost(value: str, ranks: dict[str, int]) -> float:
-    """log10 of the guesses that a value takes by its cheapest segmentation; 0 for an empty one."""
-    into: dict[int, list[tuple[int, float]]] = {}
-    for start, end, cost in _parts(value, ranks):
-        into.setdefault(end, []).append((start, cost + PART))
-    best = [0.0] * (len(value) + 1)
-    for end in range(1, len(value) + 1):
-        best[end] = min([best[end - 1] + _brute(value[end - 1]), *(best[start] + cost for start, cost in into.get(end, ()))])
-    return best[-1]
+                yield match.end(), cost
+        length = 1 + (int(self.walk[start]) if start < n - 1 else 0)
+        if length >= 3:
+            yield start + length, math.log10(80) + math.log10(length)
+        for block, agree in enumerate(self.agree, 1):
+            times = 1 + (int(agree[start]) // block if start < len(agree) else 0)
+            if times > 1 and times * block > 2:
+                yield start + times * block, sum(map(_brute, value[start : start + block])) + math.log10(times)
+
+
+def guess_cost(value: str, ranks: dict[str, int], limit: float = math.inf) -> float:
+    """log10 of the guesses that a value takes by its cheapest segmentation; 0 for an empty one.
+
+    Beyond ``limit`` the limit stands for the cost: places that no cheaper
+    segmentation reaches are left out, which spares most of a long value.
+    """
+    if not value:
+        return 0.0
+    parts, best = _Parts(value, ranks), {0: 0.0}
+    ahead = [0]
+    while ahead:
+        start = heapq.heappop(ahead)
+        cost = best[start]
+        if start == len(value):
+            return min(cost, limit)
+        steps = chain(((end, more + PART) for end, more in parts.at(start)), [(start + 1, _brute(value[start]))])
+        for end, more in steps:
+            if cost + more < best.get(end, limit):
+                if end not in best:
+                    heapq.heappush(ahead, end)
+                best[end] = cost + more
+    return limit
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -133,7 +170,7 @@ def guessed_spans(text: str, ranks: dict[str, int], known: list[tuple[int, int,
         end = start + len(value)
         if len(value) < LEAST_VALUE or any(a <= start and end <= b for a, b, _ in known):
             continue
-        if guess_cost(value, ranks) >= GUESS_COST:
+        if guess_cost(value, ranks, GUESS_COST) >= GUESS_COST:
             found.append((start, end, "guess"))
     return found
 

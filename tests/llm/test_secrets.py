@@ -1,8 +1,12 @@
 import hashlib
+import math
+import random
 import re
+import time
 
 import pytest
 
+from celloom.llm import secrets
 from celloom.llm.secrets import all_spans, guess_cost, masked, secret_scan, without_secrets, word_ranks
 from tests.llm.helpers import collected, documents
 
@@ -104,3 +108,63 @@ def test_a_value_is_masked_as_a_whole(ranks):
 
 def test_empty_table(spark):
     assert secret_scan(documents(spark, [])).collect() == []
+
+
+def plain_cost(value, ranks):
+    """The least cost over all segmentations, each part looked for by itself."""
+    rows = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm", "abcdefghijklmnopqrstuvwxyz")
+    steps = {line[i : i + 2] for row in rows for line in (row, row[::-1]) for i in range(len(row) - 1)}
+
+    def brute(c):
+        return 1.0 if c.isdigit() else math.log10(26) if c.isascii() and c.isalpha() else math.log10(33 if c.isascii() else 1000)
+
+    lower, n = value.lower(), len(value)
+    best = [0.0] + [math.inf] * n
+    for start in range(n):
+        parts = [(start + 1, brute(value[start]))]
+        for end in range(start + 3, min(n, start + 24) + 1):
+            if lower[start:end] in ranks:
+                parts.append((end, 0.3 + math.log10(ranks[lower[start:end]] + 1) + 0.3 * (value[start:end] != lower[start:end])))
+        for pattern, cost in secrets._DATES:
+            if match := pattern.match(value, start):
+                parts.append((match.end(), 0.3 + cost))
+        end = start + 1
+        while end < n and lower[end - 1 : end + 1] in steps:
+            end += 1
+        if end - start >= 3:
+            parts.append((end, 0.3 + math.log10(80) + math.log10(end - start)))
+        for size in range(1, 25):
+            times = 1
+            while value[start + times * size : start + (times + 1) * size] == value[start : start + size] and start + (times + 1) * size <= n:
+                times += 1
+            if times > 1 and times * size > 2:
+                parts.append((start + times * size, 0.3 + sum(map(brute, value[start : start + size])) + math.log10(times)))
+        for end, cost in parts:
+            best[end] = min(best[end], best[start] + cost)
+    return best[n]
+
+
+def test_cost_equals_all_segmentations(ranks):
+    rng = random.Random(3)
+    bits = ["password", "Summer", "2019", "2019-03-04", "qwert", "edcba", "aaaa", "abab", "xyzxyz", "é", "漢", "K", "7", "$", "token", "12121", "zz"]
+    for _ in range(400):
+        value = "".join(rng.choice(bits) for _ in range(rng.randint(0, 6)))
+        value += "".join(rng.choice("aB3$é") for _ in range(rng.randint(0, 6)))
+        want = plain_cost(value, ranks)
+        assert guess_cost(value, ranks) == pytest.approx(want)
+        for limit in (4.0, 10.0):
+            assert guess_cost(value, ranks, limit) == pytest.approx(min(want, limit))
+
+
+def test_values_of_any_length_take_linear_time(ranks):
+    rng = random.Random(4)
+    block = "".join(rng.choice("abcXYZ123$") for _ in range(17))
+    row = "qwertyuiopoiuytrew" * 60_000
+    for value in ("a" * 1_000_000, row, block * 60_000, "".join(rng.choice("ab") for _ in range(1_000_000)), "password2019" * 80_000, "İ" * 300_000):
+        start = time.perf_counter()
+        cost = guess_cost(value, ranks, secrets.GUESS_COST)
+        assert time.perf_counter() - start < 2
+        assert cost <= secrets.GUESS_COST
+    assert guess_cost("a" * 1_000_000, ranks, secrets.GUESS_COST) == pytest.approx(math.log10(26) + 0.3 + 6)
+    base, guessed = all_spans("pwd: " + "$xy" * 20_000 + " end", ranks)
+    assert (base, guessed) == ([], [])
