@@ -1,9 +1,11 @@
 """Chat formatting: turns in order, checked by a finite-state machine, as text segments with loss flags.
 
-A template is declared, not coded: marks around a turn, which roles may follow
-which, and which roles' texts are learned from. Every turn becomes three
-segments (mark and role, text, end mark); the conversation's text is their
-concatenation. Inside texts each run "<", backslashes, "|" gets one backslash
+A template is declared, not coded: marks around a turn, and a machine's moves,
+each from a state by a role to a state, with or without loss. One fold takes the
+machine through a conversation's roles; the state it ends in says whether the
+order is valid, and the moves it made say which turns are learned from. Every
+turn becomes three segments (mark and role, text, end mark); the conversation's
+text is their concatenation. Inside texts each run "<", backslashes, "|" gets one backslash
 more, so no mark can appear in a text and taking one away restores it.
 """
 
@@ -17,18 +19,19 @@ from pyspark.sql import Column, DataFrame, functions as F
 class Template(NamedTuple):
     start: str = "<|im_start|>"
     end: str = "<|im_end|>\n"
-    #: Roles whose texts carry loss.
-    learned: tuple[str, ...] = ("assistant",)
-    #: (state, role, next state); the states that a conversation may end in.
-    moves: tuple[tuple[str, str, str], ...] = (
-        ("start", "system", "told"),
-        ("start", "user", "asked"),
-        ("told", "user", "asked"),
-        ("asked", "assistant", "answered"),
-        ("answered", "user", "asked"),
+    #: (state, role, next state, whether the role's text carries loss).
+    moves: tuple[tuple[str, str, str, bool], ...] = (
+        ("start", "system", "told", False),
+        ("start", "user", "asked", False),
+        ("told", "user", "asked", False),
+        ("asked", "assistant", "answered", True),
+        ("answered", "user", "asked", False),
+        ("lost", "assistant", "lost", True),
     )
     first: str = "start"
+    #: The states that a conversation may end in, and the one that a role leads to for which there is no move.
     final: tuple[str, ...] = ("answered",)
+    astray: str = "lost"
 
 
 CHATML = Template()
@@ -51,10 +54,21 @@ def unescape_role(role: Column) -> Column:
     return F.replace(F.replace(F.replace(role, F.lit("%3C"), F.lit("<")), F.lit("%0A"), F.lit("\n")), F.lit("%25"), F.lit("%"))
 
 
-def state_after(turns: Column, template: Template) -> Column:
-    """The machine's state after the roles of an array of turns; null once no move fits."""
-    moves = F.create_map(*[F.lit(x) for state, role, after in template.moves for x in (f"{state}\n{role}", after)])
-    return F.aggregate(turns, F.lit(template.first), lambda state, turn: F.try_element_at(moves, F.concat(state, F.lit("\n"), turn["role"])))
+def machine(turns: Column, template: Template = CHATML) -> Column:
+    """(state, flags): the state after the roles of an array of turns, and a 1 or 0 for each turn's loss.
+
+    A role without a move leads astray; its turn then counts as one made from there.
+    """
+    moves = F.create_map(*[F.lit(x) for state, role, after, _ in template.moves for x in (f"{state}\n{role}", after)])
+    learned = F.create_map(*[F.lit(x) for state, role, _, loss in template.moves for x in (f"{state}\n{role}", "01"[loss])])
+
+    def step(at: Column, turn: Column) -> Column:
+        key, astray = F.concat(at["state"], F.lit("\n"), turn["role"]), F.concat(F.lit(f"{template.astray}\n"), turn["role"])
+        after = F.coalesce(F.try_element_at(moves, key), F.lit(template.astray))
+        flag = F.coalesce(F.try_element_at(learned, key), F.try_element_at(learned, astray), F.lit("0"))
+        return F.struct(after.alias("state"), F.concat(at["flags"], flag).alias("flags"))
+
+    return F.aggregate(turns, F.struct(F.lit(template.first).alias("state"), F.lit("").alias("flags")), step)
 
 
 def chat_segments(conversations: DataFrame, template: Template = CHATML) -> DataFrame:
@@ -75,21 +89,24 @@ def chat_segments(conversations: DataFrame, template: Template = CHATML) -> Data
     rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), turn.alias("t"))
     turns = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("turns"))
 
-    def of_turn(t: Column) -> Column:
+    def of_turn(t: Column, flag: Column) -> Column:
         def segment(kind: str, text: Column, loss: Column) -> Column:
             return F.struct(t["role"].alias("role"), F.lit(kind).alias("kind"), text.alias("text"), loss.alias("loss"))
 
         opened = F.concat(F.lit(template.start), escape_role(t["role"]), F.lit("\n"))
         return F.array(
             segment("open", opened, F.lit(False)),
-            segment("text", escape(t["text"]), t["role"].isin(*template.learned)),
+            segment("text", escape(t["text"]), flag == "1"),
             segment("close", F.lit(template.end), F.lit(False)),
         )
 
+    # as many flags as turns: the empty text between the last flag and the end is no flag
+    flags = F.slice(F.split("run.flags", ""), F.lit(1), F.size("turns"))
+    segments = F.flatten(F.zip_with("turns", flags, of_turn))
     return (
-        turns.withColumn("segments", F.flatten(F.transform("turns", of_turn)))
-        .withColumn("valid", F.coalesce(state_after(F.col("turns"), template).isin(*template.final), F.lit(False)))
-        .select("conv_id", "valid", "segments", F.array_join(F.transform("segments", lambda s: s["text"]), "").alias("formatted"))
+        turns.withColumn("run", machine(F.col("turns"), template))
+        .select("conv_id", F.col("run.state").isin(*template.final).alias("valid"), segments.alias("segments"))
+        .select("*", F.array_join(F.transform("segments", lambda s: s["text"]), "").alias("formatted"))
     )
 
 

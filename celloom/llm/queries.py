@@ -31,7 +31,7 @@ def op2_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     role = F.when(F.col("id") == 0, "user").otherwise("assistant")
     more = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), text.alias("text"))
     rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
-    return chat_digest(chat_segments(rows.union(more))).drop("valid")
+    return chat_digest(chat_segments(rows.union(more)))
 
 
 def op3_mixing_sources(spark: SparkSession, folder: str) -> DataFrame:
@@ -114,7 +114,8 @@ SELECT
       length('<|im_start|>') + length(replace(replace(replace(role, '%', '%25'), chr(10), '%0A'), '<', '%3C')) + 1
       + length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g')) + length('<|im_end|>') + 1
     ) AS BIGINT
-  ) AS formatted_chars
+  ) AS formatted_chars,
+  regexp_full_match(string_agg(role || ';', '' ORDER BY turn, role, text), '(system;)?(user;assistant;)+') AS valid
 FROM turns
 GROUP BY conv_id
 """,

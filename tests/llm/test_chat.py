@@ -58,13 +58,32 @@ def test_reads_back(spark):
 
 
 def test_another_template(spark):
-    template = CHATML._replace(start="[[", end="]]", learned=("user",), moves=(("start", "user", "x"), ("x", "user", "x")), final=("x",))
+    moves = (("start", "user", "x", True), ("x", "user", "x", True))
+    template = CHATML._replace(start="[[", end="]]", moves=moves, final=("x",))
     made = chat_segments(_frame(spark, [(5, 0, "user", "a"), (5, 1, "user", "b")]), template)
     row = made.first()
     assert (row.valid, row.formatted) == (True, "[[user\na]][[user\nb]]")
     assert chat_digest(made, template).first().loss_chars == 2
 
 
+def test_loss_comes_from_the_moves(spark):
+    """Only an answer to a first question is learned from; what leads astray is not, unless a move from there says so."""
+    moves = (("start", "user", "asked", False), ("asked", "assistant", "answered", True), ("answered", "user", "more", False), ("more", "assistant", "answered", False))
+    template = CHATML._replace(moves=moves)
+    talk = [(1, k, role, str(k)) for k, role in enumerate(["user", "assistant", "user", "assistant", "tool", "assistant"])]
+    made = chat_segments(_frame(spark, talk), template).first()
+    assert [s.loss for s in made.segments if s.kind == "text"] == [False, True, False, False, False, False]
+    assert not made.valid
+    assert chat_segments(_frame(spark, talk[:4]), template).first().valid
+
+
+def test_a_very_long_conversation(spark):
+    talk = [(1, k, ("user", "assistant")[k % 2], f"t{k}") for k in range(6000)]
+    row = chat_digest(chat_segments(_frame(spark, talk))).first()
+    assert (row.n_turns, row.valid) == (6000, True)
+    assert (1, row.n_turns, row.turns_sha256, row.loss_chars, row.loss_sha256) == plain(talk)[0]
+
+
 def test_empty_table(spark):
     assert chat_segments(_frame(spark, [])).collect() == []
 
@@ -78,6 +97,7 @@ def test_no_python_and_right_rows(spark, data, name):
     found = QUERIES[name](spark, data)
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+    assert "aggregate(" in plan and "answered" in plan  # the machine is in it
     want = db.execute(SQL[name])
     columns = [c[0] for c in want.description]
     assert sorted(columns) == sorted(found.columns)
