@@ -173,8 +173,16 @@ def populated(rows: list[LookupRow]) -> int:
 
 def wide_records(rows: DataFrame, key: str, value: str) -> DataFrame:
     """(recid, XMLRECORD): about 165 elements under 60 of the tags of WIDE_LOOKUP."""
-    text = F.col(value).cast("string")
-    content = [cell(tag, F.concat(text, F.lit(f".{tag[1:]}.{m or 1}")), m) for tag, m in _wide_tags()]
-    content.append(F.lit('<c20 m="32"></c20>'))
-    recid = F.col(key).cast("string")
-    return rows.select(recid.alias("recid"), record(recid, *content).alias("XMLRECORD"))
+    places = F.array(
+        *[
+            F.struct(
+                F.lit(f"<{tag}" + ("" if m is None else f' m="{m}"') + ">").alias("open"),
+                F.lit(f".{tag[1:]}.{m or 1}</{tag}>").alias("rest"),
+            )
+            for tag, m in _wide_tags()
+        ]
+    )
+    # one expression for all elements, not one each: the code that Spark makes stays small
+    rendered = rows.select(F.col(key).cast("string").alias("recid"), escape(F.col(value)).alias("text"), places.alias("places"))
+    content = cells(F.col("places"), lambda p: F.concat(p["open"], F.col("text"), p["rest"]))
+    return rendered.select("recid", record(F.col("recid"), content, F.lit('<c20 m="32"></c20>')).alias("XMLRECORD"))
