@@ -179,6 +179,25 @@ EXPECTED: dict[str, str] = {
         SELECT position, line FROM gap WHERE position <= 50
         UNION ALL
         SELECT 51, '... and ' || (count(*) - 50) || ' more (see task log)' FROM gap HAVING count(*) > 50""",
+    "gap_ledger": """
+        WITH target AS (
+            SELECT CASE WHEN o_orderstatus = 'F' THEN strftime(CAST(o_orderdate AS DATE) + 1, '%Y%m%d')
+                        WHEN o_orderstatus = 'O' THEN strftime(o_orderdate, '%Y%m%d') END AS day,
+                   o_orderstatus AS status, CAST(o_orderkey AS VARCHAR) AS recid, o_custkey
+            FROM orders
+        ),
+        sides AS (
+            SELECT day, 1 AS s, 0 AS t,
+                   CASE WHEN status = 'O' AND day LIKE '199603%' THEN 'X' || recid ELSE recid END AS recid
+            FROM target WHERE o_custkey <> 1
+            UNION ALL SELECT day, 0, 1, recid FROM target
+        ),
+        keyed AS (
+            SELECT day, recid, sum(s) AS s, sum(t) AS t FROM sides GROUP BY day, recid
+        )
+        SELECT day AS business_date, CAST(sum(s) AS BIGINT) AS source_rows, CAST(sum(t) AS BIGINT) AS target_rows,
+               CAST(sum(s) - sum(t) AS BIGINT) AS missing, bool_and(s = t) AS same_keys
+        FROM keyed GROUP BY day HAVING NOT bool_and(s = t)""",
     "raw_landing": f"""
         SELECT recid, load_id, business_date
         FROM ({_DATED}), (VALUES ('20260101T000000'), ('20260102T000000')) loads(load_id)""",

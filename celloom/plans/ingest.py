@@ -25,12 +25,13 @@ from celloom.model import (
 )
 from celloom.operators.parsing import chosen_rows, parse_wide
 from celloom.operators.storage import file_totals
+from celloom.plans.ledger import Ledger
 from celloom.plans.together import run_together
 from celloom.sources.files import data_files, remove_folder
 from celloom.sources.jdbc import JdbcSource, read_records
 from celloom.sources.landing import land_raw, read_landed
 from celloom.sources.shapes import landed_shapes
-from celloom.table import BUCKETS, State, WideTable
+from celloom.table import BUCKETS, State, WideTable, net_change
 
 log = logging.getLogger(__name__)
 
@@ -71,6 +72,12 @@ def target_path(dataset: Dataset, root: str, namespace: str = "bronze") -> str:
     return "/".join([root.rstrip("/"), *filter(None, full_name(dataset.target_table, "", namespace).split("."))])
 
 
+def target_ledger(spark: SparkSession, dataset: Dataset, table_root: str) -> Ledger:
+    """Where a dataset's loads leave their counts by business date."""
+    path = f"{target_path(dataset, table_root)}/ledger"
+    return Ledger(spark, path, dataset.date_column, dataset.merge_key)
+
+
 def ingest(
     spark: SparkSession,
     dataset: Dataset,
@@ -88,6 +95,7 @@ def ingest(
     spread: bool | None = None,
     land_dates: bool = False,
     buckets: int = BUCKETS,
+    ledger: bool = False,
 ) -> IngestResult:
     """One dataset, once. An empty batch leaves no landing and no change to the table.
 
@@ -96,8 +104,9 @@ def ingest(
     files. The bytes decide on the table's buckets, at least ``buckets``. Records
     are spread before they are landed unless the mode's source connections are
     as many as the cores, or ``spread`` says otherwise; ``land_dates`` lands them
-    by business date. ``count_target`` counts the table after a merge, for which
-    its key column is read.
+    by business date. ``count_target`` counts the rows that a merge overwrites,
+    for which the table's key column is read once, and so the table's rows;
+    ``ledger`` keeps these counts by business date too.
     """
     batch = records(dataset, mode, resolve_window(mode, window, today))
     path = landing_path(dataset, raw_root, load_id or new_load_id())
@@ -121,10 +130,13 @@ def ingest(
     shapes = landed_shapes(spark, [path], rows_asked)
     wide = parse_wide(landed, rows_asked, keep=(dataset.merge_key,), normalize=dataset.normalize, shapes=shapes)
     table = WideTable(spark, target_path(dataset, table_root), dataset.merge_key, buckets=buckets)
-    commit = table.load(wide, resolve_write_mode(mode, window), there["bytes"])
+    on_change = net_change if count_target else None
+    if ledger:
+        on_change = target_ledger(spark, dataset, table_root).record
+    commit = table.load(wide, resolve_write_mode(mode, window), there["bytes"], on_change)
     total = commit.live_rows
     if total is None and count_target:
-        total = table.read().count()
+        total = table.read().count()  # an earlier load was not counted
     log.info("%s: %d source rows, %s target rows", dataset.name, rows, total)
     return IngestResult(dataset.name, rows, path, commit, total)
 
