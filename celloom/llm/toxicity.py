@@ -31,8 +31,10 @@ STEM = 5
 #: Most labelled documents that the machine is fitted on.
 TRAIN_ROWS = 20_000
 FACTORS = 8
-#: Least documents of a term, and least chi-squared value.
-LEAST_DOCS, LEAST_CHI = 5, 15.0
+#: Least documents of a term and least chi-squared value; how many of the terms that tell alone are looked beside, and least value there.
+LEAST_DOCS, LEAST_CHI, LEADING, LEAST_BESIDE = 5, 15.0, 256, 40.0
+#: Rows that are summed at once.
+_SUMMED = 1 << 17
 
 #: Bytes between terms: ASCII but letters and digits.
 _BETWEEN = np.ones(256, bool)
@@ -78,16 +80,56 @@ def _term_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch(schema, toxic=b.column("toxic"), terms=[s.astype(np.int32).tobytes() for s in sets])
 
 
-def _chosen(sets: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
-    """Terms whose documents' labels differ from the others' by the chi-squared test."""
-    rows = np.repeat(toxic, [len(s) for s in sets])
-    flat = np.concatenate(sets) if sets else np.zeros(0, np.int64)
-    seen = np.bincount(flat, minlength=1 << BITS).astype(float)
-    hits = np.bincount(flat, weights=rows, minlength=1 << BITS)
-    n, positive = len(sets), toxic.sum()
+def _telling(seen: np.ndarray, hits: np.ndarray, n: float, positive: float) -> np.ndarray:
+    """Chi-squared values of terms in `seen` of n documents, of which `hits` of the positive ones; 0 for too rare ones."""
     with np.errstate(divide="ignore", invalid="ignore"):
         chi = n * (hits * n - seen * positive) ** 2 / (seen * (n - seen) * positive * (n - positive))
-    return np.flatnonzero((seen >= LEAST_DOCS) & (np.nan_to_num(chi) >= LEAST_CHI))
+    return np.where(seen >= LEAST_DOCS, np.nan_to_num(chi, posinf=0.0), 0.0)
+
+
+def _chosen(sets: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
+    """Terms that tell a document's label, alone or beside another term.
+
+    A term tells alone if the labels of the documents with it differ from the
+    others' by the chi-squared test. The strongest of these are looked at in turn:
+    among the documents with one, a term that is neutral alone may go with the toxic ones.
+    """
+    size = 1 << BITS
+    flat = np.concatenate(sets)
+    seen = np.bincount(flat, minlength=size)
+    hits = np.bincount(np.concatenate([s for s, t in zip(sets, toxic) if t]), minlength=size)
+    chi = _telling(seen.astype(float), hits, len(sets), toxic.sum())
+    chosen = chi >= LEAST_CHI
+    leading = np.argsort(-chi, kind="stable")[:LEADING]
+    leading = leading[chosen[leading]]
+    lead = np.zeros(size, bool)
+    lead[leading] = True
+    places = np.flatnonzero(lead[flat])
+    term = flat[places]
+    owner = np.searchsorted(np.cumsum([len(s) for s in sets]), places, side="right")
+    del flat, places
+    for one in leading:
+        holders = owner[term == one]
+        beside = np.concatenate([sets[k] for k in holders])
+        labels = np.repeat(toxic[holders], [len(sets[k]) for k in holders])
+        positive = toxic[holders].sum()
+        if 0 < positive < len(holders):
+            seen, hits = np.bincount(beside, minlength=size), np.bincount(beside, weights=labels, minlength=size)
+            more = hits * len(holders) > seen * positive
+            chosen |= more & (_telling(seen.astype(float), hits, len(holders), positive) >= LEAST_BESIDE)
+    return np.flatnonzero(chosen)
+
+
+def _summed(values: np.ndarray, rows: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sums of the rows of an array that are named from each start to the next, some of them in memory at a time."""
+    ends = np.append(starts[1:], len(rows))
+    out = np.empty((len(starts), values.shape[1]))
+    at = 0
+    while at < len(starts):
+        to = max(at + 1, int(np.searchsorted(ends, starts[at] + _SUMMED, side="right")))
+        out[at:to] = np.add.reduceat(values[rows[starts[at] : ends[to - 1]]], starts[at:to] - starts[at], axis=0)
+        at = to
+    return out
 
 
 def fit(sets: list[np.ndarray], toxic: np.ndarray, rounds: int = 300, rate: float = 0.05, decay: float = 1e-4) -> Machine:
@@ -107,9 +149,15 @@ def fit(sets: list[np.ndarray], toxic: np.ndarray, rounds: int = 300, rate: floa
     factors[0] = 0
     if not len(chosen):
         return Machine(bias, place, weights, factors)
-    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    term = place[np.concatenate(sets)]
-    owner, term = owner[term > 0], term[term > 0]
+    known = [place[s] for s in sets]
+    known = [k[k > 0] for k in known]
+    term = np.concatenate(known).astype(np.int32)
+    owner = np.repeat(np.arange(len(known), dtype=np.int32), [len(k) for k in known])
+    del known
+    # documents that have terms, with where theirs begin; and the same by term
+    some, of_doc = np.unique(owner, return_index=True)
+    owner = owner[np.argsort(term, kind="stable")]
+    of_term = np.searchsorted(np.sort(term), np.arange(1, len(chosen) + 1))
     state = {}
 
     def step(name: str, value, gradient, t: int):
@@ -118,18 +166,16 @@ def fit(sets: list[np.ndarray], toxic: np.ndarray, rounds: int = 300, rate: floa
         state[name] = (m, v)
         return value - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
 
-    def summed(values: np.ndarray, by: np.ndarray, n: int) -> np.ndarray:
-        if values.ndim == 1:
-            return np.bincount(by, weights=values, minlength=n)
-        return np.stack([np.bincount(by, weights=c, minlength=n) for c in values.T], axis=1)
-
+    by_doc = np.zeros((len(sets), FACTORS + 2))
     for t in range(1, rounds + 1):
-        total = summed(factors[term], owner, len(sets))
-        square = summed((factors**2).sum(1)[term], owner, len(sets))
-        y = bias + summed(weights[term], owner, len(sets)) + 0.5 * ((total**2).sum(1) - square)
+        by_doc[some] = _summed(np.column_stack([factors, weights, (factors**2).sum(1)]), term, of_doc)
+        total = by_doc[:, :FACTORS]
+        y = bias + by_doc[:, FACTORS] + 0.5 * ((total**2).sum(1) - by_doc[:, -1])
         error = (1 / (1 + np.exp(-np.clip(y, -60, 60))) - toxic) / len(sets)
-        g_weights = summed(error[owner], term, len(weights)) + decay * weights
-        g_factors = summed(error[owner, None] * (total[owner] - factors[term]), term, len(weights)) + decay * factors
+        slope = _summed(np.column_stack([error[:, None] * total, error]), owner, of_term)
+        g_weights, g_factors = decay * weights, decay * factors
+        g_weights[1:] += slope[:, -1]
+        g_factors[1:] += slope[:, :-1] - factors[1:] * slope[:, -1:]
         bias = step("bias", bias, error.sum(), t)
         weights = step("weights", weights, g_weights, t)
         factors = step("factors", factors, g_factors, t)
@@ -160,14 +206,16 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Machine
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     known = known.where(F.col("toxic").isin(0, 1) & ~held_out()).orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(rows)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    # at most `rows` ids and labels
-    sample = texts.join(F.broadcast(known), "doc_id").select("toxic", "text")
-    got = sample.mapInArrow(_term_sets, "toxic int, terms binary").toPandas()
-    sets = [np.frombuffer(t, np.int32).astype(np.int64) for t in got["terms"]]
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    # at most `rows` ids and labels, and of each one text, the first in order: an id may have any number of rows
+    sample = texts.join(F.broadcast(known.distinct()), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    got = sample.select("toxic", "text").mapInArrow(_term_sets, "toxic int, terms binary").toArrow()
+    terms, toxic = got["terms"].to_pylist(), got["toxic"].to_numpy()
+    del got
     # rows in one order, so that sums come out the same in every run
-    order = sorted(range(len(sets)), key=lambda i: (got["toxic"][i], bytes(got["terms"][i])))
-    return fit([sets[i] for i in order], got["toxic"].to_numpy()[order].astype(float) if len(sets) else np.zeros(0))
+    order = sorted(range(len(terms)), key=lambda i: (toxic[i], terms[i]))
+    sets = [np.frombuffer(terms[i], np.int32) for i in order]
+    return fit(sets, toxic[order].astype(float) if len(sets) else np.zeros(0))
 
 
 def scored(docs: DataFrame, machine: Machine, into: str = "score") -> DataFrame:
