@@ -5,19 +5,20 @@ postings: for every dimension the candidates that are not 0 there, with their
 weights. A query adds, dimension by dimension, its weight times the postings
 into a dense array with a score for each candidate of the block; a partition
 selection takes the block's best and the blocks' best are merged. Queries come
-in blocks of at most QUERIES, a bounded broadcast, each against all rows.
+in blocks of about QUERIES: a block is a bounded broadcast against all rows, and
+its best are written out before the next one is read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from celloom.llm.common import arrow_schema, batch, landed
+from celloom.workspace import new_folder
 
 K = 10
 SCALE = 1024
@@ -116,25 +117,16 @@ def top_k(vectors: DataFrame, asking: Column, k: int = K, scale: int = SCALE) ->
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), quantized("embedding", scale).alias("v"), asking.alias("asked"))
     rows = rows.where("vec_id is not null and v is not null")
     queries = landed(rows.where("asked").select("vec_id", "v").withColumn("query", F.monotonically_increasing_id()), "queries")
-    parts = spark.createDataFrame([], _BEST)
-    results = []
-    for numbers, ids, block in _query_blocks(queries):
-        shared = spark.sparkContext.broadcast((numbers, ids, block))  # QUERIES rows at most
-        results.append(_merged(rows.select("vec_id", "v").mapInArrow(_search(shared, k), _BEST), k).drop("rank"))
-    best = reduce(DataFrame.union, results) if results else parts
-    return _merged(best, k).select("query_id", "rank", "vec_id", "score")
-
-
-def _query_blocks(queries: DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Numbers, ids and matrix of QUERIES queries at a time, one block in the driver's memory."""
-    held: list = []
-    for row in queries.toLocalIterator():
-        held.append(row)
-        if len(held) == QUERIES:
-            yield _block(held)
-            held = []
-    if held:
-        yield _block(held)
+    blocks = -(-queries.count() // QUERIES)
+    found = new_folder(spark, "found")
+    spark.createDataFrame([], _BEST).write.parquet(found)
+    for number in range(blocks):
+        block = queries.where(F.pmod(F.xxhash64("query"), F.lit(blocks)) == number)
+        shared = spark.sparkContext.broadcast(_block(block.collect()))  # about QUERIES rows
+        best = rows.select("vec_id", "v").mapInArrow(_search(shared, k), _BEST)
+        _merged(best, k).drop("rank").write.mode("append").parquet(found)
+        shared.unpersist()
+    return _merged(spark.read.schema(_BEST).parquet(found), k).select("query_id", "rank", "vec_id", "score")
 
 
 def _block(rows: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
