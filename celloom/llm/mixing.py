@@ -103,7 +103,8 @@ def _sized(docs: DataFrame, *carried: Column) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
         word_count().alias("size"),
-        F.md5(F.concat_ws(":", F.lit(SEED), doc_id).cast("binary")).alias("key"),
+        # of the text too: rows without an id, or of one id, are dealt to shards like others
+        F.md5(F.concat_ws(":", F.lit(SEED), doc_id, F.xxhash64("text").cast("string")).cast("binary")).alias("key"),
         *carried,
     )
 
