@@ -454,10 +454,15 @@ def kept_of_each(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) ->
     """
     one = F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "row")).alias("one")
     heads = _rooted(docs, width, percent).where("n > 0").groupBy("root").agg(one)
-    heads = heads.select(F.col("one.doc_id").alias("_head"), F.col("one.row").alias("_row"))
+    # names that the caller's columns have not
+    free = "_"
+    while any(c.lower().startswith(f"{free}kept") for c in docs.columns):
+        free += "_"
+    head, row, nth = (f"{free}kept_{part}" for part in ("head", "row", "nth"))
+    heads = heads.select(F.col("one.doc_id").alias(head), F.col("one.row").alias(row))
     columns = [F.col(f"`{c}`") for c in docs.columns]
     words = F.coalesce(F.col("text"), F.lit("")).rlike(WORD)
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_head")) & (F.xxhash64("text") == F.col("_row"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(head)) & (F.xxhash64("text") == F.col(row))
     first = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("text")
-    once = docs.where(words).join(heads, same, "left_semi").withColumn("_nth", F.row_number().over(first)).where("_nth = 1")
+    once = docs.where(words).join(heads, same, "left_semi").withColumn(nth, F.row_number().over(first)).where(F.col(nth) == 1)
     return once.select(*columns).union(docs.where(~words).select(*columns))
