@@ -21,8 +21,8 @@ its pieces for merging and has no probabilities, so a piece scores -ln(rank +
 scores, not those of greedy merging. Of equal paths the one with the longer
 last piece is taken.
 
-Ids go back to documents through two tables: the most frequent words, at most
-FREQUENT of them, are broadcast; a document's other words are joined to it by
+Ids go back to documents through two tables: the most frequent words, with at
+most FREQUENT ids, are broadcast; a document's other words are joined to it by
 hash. Decoding concatenates the pieces' bytes, so it gives back every text.
 """
 
@@ -34,6 +34,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -44,16 +45,17 @@ VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 LONGEST_PIECE = 16
 #: Longest word in characters whose edges are grouped, the size of a longer word's blocks, and most ids of a broadcast word.
 LONGEST_WORD = 256
-#: Most words that are broadcast with their ids.
-FREQUENT = 1_000_000
+#: Most ids of the words that are broadcast, so that a task's share of memory for them is some 20 MB.
+FREQUENT = 1 << 20
 #: Text bytes for each task that builds lattices, and most such tasks; more words a task are spilled.
 TASK_BYTES, MOST_TASKS = 4 << 20, 20_000
+#: Bytes of text that a task works on at once.
+SLICE_BYTES = 2 << 20
 ZIPF, UNKNOWN = 2.7, 10.0
 FIRST_BYTE = 3
 
 _ALONE = np.zeros(256, bool)
 _ALONE[[0x20, 0x0A, 0x09]] = True
-_TYPES = "word string, n long"
 _BLOCKS = "hash long, n long, at long, before int, block string"
 _EDGES = "hash long, n long, end long, size int, score double, id int"
 _HASHED = "hash long, n long, ids array<int>"
@@ -115,16 +117,19 @@ def word_hashes_of(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     return data, starts, ends, range_hashes(running(data), starts, ends)
 
 
-def _types(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct words with counts, by batch."""
-    schema = arrow_schema(_TYPES)
-    for b in batches:
-        found = [word_hashes_of(t) for t in b.column("bytes").to_pylist()]
-        owner = np.repeat(np.arange(len(found)), [len(f[1]) for f in found])
-        starts, ends, hashes = (np.concatenate([f[k] for f in found]) for k in (1, 2, 3))
-        hashes, first, counts = np.unique(hashes, return_index=True, return_counts=True)
-        words = [found[i][0][s:e].tobytes().decode("utf-8", "replace") for i, s, e in zip(owner[first], starts[first], ends[first])]
-        yield batch(schema, word=words, n=counts)
+def _slices(column: pa.Array, most: int) -> Iterator[tuple[int, list[bytes]]]:
+    """A binary column's values, some bytes of them at a time, each time with the first one's place."""
+    sizes = pc.binary_length(column).to_numpy(zero_copy_only=False)
+    cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // most)) + 1
+    for at, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(column)]):
+        if end > at:
+            yield at, column.slice(at, end - at).to_pylist()
+
+
+def distinct_words(texts: DataFrame) -> DataFrame:
+    """(word, n) of the column `text`: the words that ``word_places`` finds, counted where they are read, before any shuffle."""
+    words = F.regexp_extract_all(F.concat(F.lit(" "), F.col("text")), F.lit(r" *[^ \n\t]+| +|\n|\t"), F.lit(0))
+    return texts.where("text <> ''").select(F.explode(words).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -287,13 +292,14 @@ def _missing(shared):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows, hashes = [], []
-            for row, text in zip(b.column("row").to_pylist(), b.column("bytes").to_pylist()):
-                found = np.unique(word_hashes_of(text)[3])
-                found = found[~_found(shared.value, found)[1]]
-                rows.append(np.full(len(found), row, np.int64))
-                hashes.append(found.view(np.int64))
-            if rows:
+            ids = b.column("row").to_numpy()
+            for at, texts in _slices(b.column("bytes"), SLICE_BYTES):
+                rows, hashes = [], []
+                for row, text in zip(ids[at:], texts):
+                    found = np.unique(word_hashes_of(text)[3])
+                    found = found[~_found(shared.value, found)[1]]
+                    rows.append(np.full(len(found), row, np.int64))
+                    hashes.append(found.view(np.int64))
                 yield batch(schema, row=np.concatenate(rows), hash=np.concatenate(hashes))
 
     return run
@@ -330,8 +336,8 @@ def _encoded(shared, raw):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unzip = zstandard.ZstdDecompressor()
         for b in batches:
-            for at in range(0, b.num_rows, 256):
-                part = b.slice(at, 256)
+            for at in range(0, b.num_rows, 128):
+                part = b.slice(at, 128)
                 out = {name: [] for name in schema.names}
                 for r in part.select(["doc_id", "packed", "rare"]).to_pylist():
                     rare = r["rare"] or []
@@ -350,13 +356,15 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = arrow_schema("doc_id long, row long, packed binary")
     squeeze = zstandard.ZstdCompressor(level=3)
     for b in batches:
-        yield batch(schema, doc_id=b.column("doc_id"), row=b.column("row"), packed=[squeeze.compress(t) for t in b.column("bytes").to_pylist()])
+        for at, texts in _slices(b.column("bytes"), SLICE_BYTES):
+            ids, rows = (b.column(c).slice(at, len(texts)) for c in ("doc_id", "row"))
+            yield batch(schema, doc_id=ids, row=rows, packed=[squeeze.compress(t) for t in texts])
 
 
 def _frequent(types: DataFrame, most: int) -> Table:
-    """The words that are seen most, as many as fit: all of a count or none; those of very many ids are not among them."""
+    """The words that are seen most, as many as have `most` ids in all: all of a count or none; those of very many ids are not among them."""
     types = types.where(F.size("ids") <= LONGEST_WORD)
-    counts = types.groupBy("n").agg(F.count("*").alias("k")).orderBy(F.desc("n"))
+    counts = types.groupBy("n").agg(F.sum(F.size("ids")).alias("k")).orderBy(F.desc("n"))
     # as many rows as there are different counts that still fit
     total, least = 0, None
     for row in counts.toLocalIterator():
@@ -378,10 +386,10 @@ def _frequent(types: DataFrame, most: int) -> Table:
     return Table(hashes.view(np.uint64)[order], offsets, flat[place].astype(np.int32))
 
 
-def encoded(docs: DataFrame, path: str = VOCABULARY, frequent: int = FREQUENT, runs: bool = False) -> DataFrame:
+def encoded(docs: DataFrame, path: str = VOCABULARY, frequent: int = FREQUENT, runs: bool = True) -> DataFrame:
     """doc_id, ids, n_ids and decoded (the bytes that the ids give back) of every row of `docs` (doc_id, text).
 
-    With `runs` the vocabulary is whole, else without its pieces of several spaces. A null or empty text has no ids. Repeated rows are returned each, a null
+    The vocabulary is whole unless `runs` is off: then it is without its pieces of several spaces. A null or empty text has no ids. Repeated rows are returned each, a null
     doc_id too; other columns are ignored.
     """
     spark = docs.sparkSession
@@ -389,7 +397,7 @@ def encoded(docs: DataFrame, path: str = VOCABULARY, frequent: int = FREQUENT, r
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row"), utf8().alias("bytes"))
     total = rows.agg(F.coalesce(F.sum(F.octet_length("bytes")), F.lit(0))).first()[0]
     tasks = min(max(16, total // TASK_BYTES), MOST_TASKS)
-    words = rows.select("bytes").mapInArrow(_types, _TYPES).repartition(tasks, "word").groupBy("word")
+    words = distinct_words(docs.select("text")).repartition(tasks, "word").groupBy("word")
     # an aggregate, so that the condition on it stays above the shuffle and both branches share that
     words = words.agg(F.sum("n").alias("n"), F.max(F.length("word")).alias("chars"))
     short, long = words.where(F.col("chars") <= LONGEST_WORD), words.where(F.col("chars") > LONGEST_WORD)
