@@ -1,0 +1,142 @@
+"""Plain records are read as the built-in parser reads them; all others by it."""
+
+import random
+
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from celloom import fixtures as X
+from celloom.functions import plain
+from celloom.functions.xml import parse_xml, xml_schema
+from celloom.model import LookupRow
+from celloom.operators import parsing as P
+from celloom.operators import shapes as S
+
+PLAIN = [
+    "<row></row>",
+    '<row id="1 a"></row>',
+    "<row><c1>a</c1></row>",
+    '<row id="k"><c1>a b</c1><c20 m="2">x</c20><c20 m="3" s="12">y=(z)"\'</c20><c20 s="2"/><c50/></row>',
+    '<row><c0>0</c0><c1 m="1" s="1">a</c1><c1 m="999999999">b</c1><c1/><c201>no</c201></row>',
+    "<row><c1>-</c1><c1>NaN</c1><c1>null</c1><c999999>]]</c999999></row>",
+]
+ODD = [
+    None,
+    "",
+    "row",
+    "<row/>",
+    "<row><c1></c1></row>",
+    "<row><c1> a </c1></row>",
+    "<row><c1>a  b\n</c1></row>",
+    "<row><c1>a</c20></row>",
+    "<row><c1>a</c1>",
+    "<row><c1>a</c1></row>x",
+    "<row><c1>a&amp;b</c1></row>",
+    "<row><c1>ä</c1></row>",
+    "<row><c1> </c1><c20> x</c20></row>",
+    "<row><c1>a<!-- c --></c1></row>",
+    "<row><c1><![CDATA[x]]></c1></row>",
+    "<row><c1><c20>in</c20></c1></row>",
+    '<row><c1 m="2"><_m>3</_m>a</c1></row>',
+    '<row><c1 m="0">a</c1><c1 m="02">b</c1><c1 m="-1">c</c1></row>',
+    '<row><c1 m="x">a</c1></row>',
+    '<row><c1 s="2" m="2">a</c1></row>',
+    "<row><c1 m='2'>a</c1></row>",
+    '<row><c1 m="2" m="3">a</c1></row>',
+    '<row><C1 M="2">a</C1></row>',
+    "<row><c01>a</c01><x>b</x></row>",
+    "<row>t<c1>a</c1></row>",
+    "<row><c1>a</c1></row>\n",
+    '<row c1="q"><c1>a</c1></row>',
+    '<row id="1"><c1>></c1></row>',
+    "<other><c1>a</c1></other>",
+    "<row><c1>a</c1></row><row><c1>b</c1></row>",
+    '<!DOCTYPE row [<!ENTITY e "v">]><row><c1>&e;</c1></row>',
+]
+ROWS = [
+    LookupRow("c1", None, "one"), LookupRow("c20", 2, "two"), LookupRow("c20", 3, "three"),
+    LookupRow("c50", None, "fifty"), LookupRow("c0", None, "none"), LookupRow("c201", None, "long"),
+]
+
+
+def _random(n=300):
+    r = random.Random(5)
+    words = ["a", "a b", "x=1", "9", "[..]", " a", "", "&lt;", "é"]
+
+    def element():
+        tag, m, s = r.choice(["c1", "c20", "c50", "c7"]), r.randrange(4), r.randrange(4)
+        at = (f' m="{m}"' if m or not r.randrange(9) else "") + (f' s="{s}"' if s else "")
+        text = r.choice(words[: r.choice([5, 5, 5, 9])])
+        return f"<{tag}{at}/>" if not r.randrange(6) else f"<{tag}{at}>{text}</{tag}>"
+
+    return ["<row>" + "".join(element() for _ in range(r.randrange(9))) + "</row>" for _ in range(n)]
+
+
+@pytest.fixture(scope="module")
+def records(spark):
+    rows = [(k, t) for k, t in enumerate(PLAIN + ODD + _random())]
+    return spark.createDataFrame(rows, "recid int, XMLRECORD string").repartition(3).cache()
+
+
+def _sorted(df):
+    return sorted(df.collect(), key=lambda r: r["recid"])
+
+
+def test_which_records_are_plain():
+    found = plain._elements(pa.array(ODD + PLAIN, pa.string())).plain
+    assert found.tolist() == [False] * len(ODD) + [True] * len(PLAIN)
+    assert plain._elements(pa.array(PLAIN + ODD).slice(1, len(PLAIN))).plain.tolist() == [True] * (len(PLAIN) - 1) + [False]
+    assert not len(plain._elements(pa.array([], pa.string())).plain)
+
+
+def test_cells_as_the_parser_makes_them(spark, records):
+    schema = xml_schema(ROWS)
+    got = P.with_cells(records, ROWS).select("recid", P.PARSED)
+    assert _sorted(got) == _sorted(records.select("recid", parse_xml("XMLRECORD", schema).alias(P.PARSED)))
+    texts = pa.array(PLAIN, pa.string())
+    made = plain._batch_cells(texts, schema.fieldNames()).to_pylist()
+    frame = spark.createDataFrame([(t,) for t in PLAIN], "t string").coalesce(1)
+    want = frame.select(parse_xml("t", schema).alias("c")).collect()
+    assert made == [r["c"].asDict(recursive=True) for r in want]
+
+
+def test_other_schemas_are_the_parsers():
+    assert plain.plain_cells("t", xml_schema([LookupRow("C1", None, "x")])) is None
+    assert plain.plain_cells("t", xml_schema([LookupRow("c01", None, "x")])) is None
+    assert plain.plain_cells("t", xml_schema([])) is None
+
+
+@pytest.mark.parametrize("normalize", [True, False])
+def test_shapes_of_both_kinds(records, normalize):
+    for chosen in (F.lit(True), F.col("recid") < len(PLAIN), F.col("recid").between(len(PLAIN), len(PLAIN + ODD) - 1)):
+        df = records.where(chosen)
+        for rows in (ROWS, ROWS[1:3], ROWS[3:]):
+            text, traits = df.select(F.col("XMLRECORD").alias("_xml")), S._traits(rows, normalize)
+            want = S._search(text, traits)
+            sub = {k[1] for k in want if k[0] == "sub"}
+            shapes = S.profile_shapes(df, rows, normalize=normalize)
+            for r in rows:
+                if r.m_index is None:
+                    plural = S.LIST if ("list", r.tag) in want or not normalize else S.SCALAR
+                    assert shapes[r.name] == (S.NESTED if r.tag in sub else plural)
+                else:
+                    grouped = ("group", r.tag, r.m_index) in want or not normalize
+                    assert shapes[r.name] == (S.LIST if grouped else S.SCALAR)
+
+
+def test_census_of_both_kinds(spark, records):
+    # the VARIANT parser raises for some records that are not well formed
+    well = parse_xml("XMLRECORD", xml_schema(ROWS), corrupt_column="_corrupt")["_corrupt"].isNull()
+    records = records.where(well).cache()
+    whole = records.select(F.expr("from_xml(XMLRECORD, 'variant', map('rowTag', 'row'))").alias("v"))
+    keys = whole.lateralJoin(spark.tvf.variant_explode_outer(F.col("v").outer())).where("key IS NOT NULL")
+    tags = keys.where(~F.startswith("key", F.lit("_"))).groupBy(F.lower("key").alias("tag")).count()
+    want = {(r["tag"], r["tag"] in ("c1", "c20", "c50", "c0", "c201"), r["count"]) for r in tags.collect()}
+    assert {tuple(r) for r in P.tag_census(records, ROWS).collect()} == want
+
+
+def test_lines_are_plain(spark, data):
+    """What keeps the queries over lines off the slow way: none of their records is left to the parser."""
+    lines = X.line_records(spark.read.parquet(f"{data}/lineitem.parquet")).select("XMLRECORD")
+    assert lines.mapInArrow(plain.not_plain, "XMLRECORD string").isEmpty()
