@@ -1,15 +1,16 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
-A text, with a space put first, falls into words: a run of spaces and what follows it
-up to the next space, line end or tab; line ends and tabs stand alone. No
-piece of the vocabulary goes over such a cut, so words are encoded one by one,
-and each distinct word once:
+A text, with a space put first, is cut into words between any two characters whose
+bytes meet in no piece of the vocabulary: before a space after a letter, at a line end,
+mostly at punctuation and around digits. No piece goes over such a cut, so words are
+encoded one by one, and each distinct word once:
 
 1. Every substring of up to LONGEST_PIECE characters of a word is a row; an equi-join
    with the piece table leaves the edges of the word's lattice. A character
    that is no piece gets an edge of its own, whose ids are its UTF-8 bytes'.
 2. Edges are grouped by word and a higher-order aggregate folds them, by where
-   they end, into the best path (Viterbi).
+   they end, into the best edge into each place (Viterbi); a second one goes back
+   over these from the word's end and gives the best path.
 3. Words beyond LONGEST_WORD characters are not cut. They are exploded by blocks, each
    with the characters before it that a piece can reach, and a word's edges are not
    grouped but sorted by where they end and folded as a stream: the scores of the
@@ -23,7 +24,7 @@ last piece is taken.
 
 Ids go back to documents through two tables: the most frequent words, with at
 most FREQUENT ids, are broadcast; a document's other words are joined to it by
-hash. Decoding concatenates the pieces' bytes, so it gives back every text.
+hash, and texts meet them compressed. Decoding concatenates the pieces' bytes, so it gives back every text.
 """
 
 from __future__ import annotations
@@ -49,16 +50,15 @@ LONGEST_WORD = 256
 FREQUENT = 1 << 20
 #: Text bytes for each task that builds lattices, and most such tasks; more words a task are spilled.
 TASK_BYTES, MOST_TASKS = 4 << 20, 20_000
-#: Bytes of text that a task works on at once.
-SLICE_BYTES = 2 << 20
+#: Bytes of text that a task works on at once, and most distinct words that it holds while it counts.
+SLICE_BYTES, HELD_WORDS = 1 << 20, 1 << 17
 ZIPF, UNKNOWN = 2.7, 10.0
 FIRST_BYTE = 3
 
-_ALONE = np.zeros(256, bool)
-_ALONE[[0x20, 0x0A, 0x09]] = True
 _BLOCKS = "hash long, n long, at long, before int, block string"
 _EDGES = "hash long, n long, end long, size int, score double, id int"
 _HASHED = "hash long, n long, ids array<int>"
+_COUNTED = "word string, n long"
 _MISSING = "row long, hash long"
 _ENCODED = "doc_id long, ids array<int>, n_ids long, decoded binary"
 
@@ -88,33 +88,38 @@ def pieces(path: str = VOCABULARY, runs: bool = False) -> Pieces:
     return Pieces(texts, scores, raw)
 
 
-def _runs(inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    edge = np.diff(np.concatenate([[0], inside.astype(np.int8), [0]]))
-    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+def cuts(vocabulary: Pieces) -> np.ndarray:
+    """Of each two bytes, the first one's value times 256 and the second one's added, whether texts are cut between them: where no piece has both and a character begins."""
+    cut = np.ones((256, 256), bool)
+    cut[:, 0x80:0xC0] = False
+    joined = np.frombuffer(b"\n".join(t.encode() for t in vocabulary.texts if t is not None), np.uint8)
+    inside = (joined[:-1] != 0x0A) & (joined[1:] != 0x0A)
+    cut[joined[:-1][inside], joined[1:][inside]] = False
+    return cut.ravel()
 
 
-def word_places(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A space and the text as bytes, and the starts and ends of its words."""
-    data = np.frombuffer(b" " + text, np.uint8)
-    alone, space = _ALONE[data], data == 0x20
-    starts, ends = _runs(~alone)
-    blank, blank_ends = _runs(space)
-    led = np.isin(starts, blank_ends)
-    leads = np.isin(blank_ends, starts)
-    starts[led] = blank[leads]
-    lone = np.flatnonzero(alone & ~space)
-    starts, ends = np.concatenate([starts, blank[~leads], lone]), np.concatenate([ends, blank_ends[~leads], lone + 1])
-    order = np.argsort(starts, kind="stable")
-    return data, starts[order], ends[order]
+class Words(NamedTuple):
+    """Bytes of texts, each after a space, the places of their words, the words' hashes, and of each text its first word."""
+
+    data: bytes
+    starts: np.ndarray
+    ends: np.ndarray
+    hashes: np.ndarray
+    firsts: np.ndarray
 
 
-def word_hashes_of(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Data, starts, ends and hashes of a text's words; an empty text has none."""
-    if not text:
-        none = np.zeros(0, np.int64)
-        return np.zeros(0, np.uint8), none, none, np.zeros(0, np.uint64)
-    data, starts, ends = word_places(text)
-    return data, starts, ends, range_hashes(running(data), starts, ends)
+def words_of(texts: list[bytes], cut: np.ndarray) -> Words:
+    """The words of texts, cut where `cut` says and between texts; an empty text has none."""
+    data = b"".join([b" " + t if t else b"" for t in texts])
+    begins = np.cumsum([0, *(len(t) + 1 if t else 0 for t in texts)])
+    raw = np.frombuffer(data, np.uint8)
+    first = np.ones(len(raw), bool)
+    if len(raw):
+        first[1:] = cut[(raw[:-1].astype(np.uint16) << 8) | raw[1:]]
+        first[begins[:-1][np.diff(begins) > 0]] = True
+    starts = np.flatnonzero(first)
+    ends = np.append(starts[1:], len(raw))[: len(starts)]
+    return Words(data, starts, ends, range_hashes(running(raw), starts, ends), np.searchsorted(starts, begins))
 
 
 def _slices(column: pa.Array, most: int) -> Iterator[tuple[int, list[bytes]]]:
@@ -126,10 +131,34 @@ def _slices(column: pa.Array, most: int) -> Iterator[tuple[int, list[bytes]]]:
             yield at, column.slice(at, end - at).to_pylist()
 
 
-def distinct_words(texts: DataFrame) -> DataFrame:
-    """(word, n) of the column `text`: the words that ``word_places`` finds, counted where they are read, before any shuffle."""
-    words = F.regexp_extract_all(F.concat(F.lit(" "), F.col("text")), F.lit(r" *[^ \n\t]+| +|\n|\t"), F.lit(0))
-    return texts.where("text <> ''").select(F.explode(words).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+def _counted(cut):
+    schema = arrow_schema(_COUNTED)
+
+    def made(held: dict[bytes, int]) -> pa.RecordBatch:
+        words = pa.array(list(held), pa.binary()).cast(pa.string())
+        return pa.record_batch([words, pa.array(list(held.values()), pa.int64())], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[bytes, int] = {}
+        for b in batches:
+            for _, texts in _slices(b.column("bytes"), SLICE_BYTES):
+                found = words_of(texts, cut.value)
+                _, at, seen = np.unique(found.hashes, return_index=True, return_counts=True)
+                for start, end, n in zip(found.starts[at].tolist(), found.ends[at].tolist(), seen.tolist()):
+                    word = found.data[start:end]
+                    held[word] = held.get(word, 0) + n
+                if len(held) > HELD_WORDS:
+                    yield made(held)
+                    held = {}
+        if held:
+            yield made(held)
+
+    return run
+
+
+def distinct_words(rows: DataFrame, cut) -> DataFrame:
+    """(word, n) of the column `bytes`: its words, counted by each task before any shuffle, as far as HELD_WORDS allows; a word can come several times."""
+    return rows.select("bytes").mapInArrow(_counted(cut), _COUNTED)
 
 
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,26 +266,31 @@ def best_paths(words: DataFrame, vocabulary: Pieces) -> DataFrame:
     strings = spots.select("n", "word", "end", _sizes(F.col("end"))).select(
         "n", "word", "end", "size", F.substring(F.col("word"), F.col("end") - F.col("size") + 1, F.col("size")).alias("piece")
     )
-    edge = F.struct("end", (-F.col("size")).alias("back"), "score", "id")
+    edge = F.struct("end", (F.col("end") - F.col("size")).alias("start"), "score", "id")
     grouped = _edges(strings, vocabulary).groupBy("word").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(edge)).alias("edges"))
 
-    none = F.array().cast("array<int>")
-    nothing = F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("back"), none.alias("ids"))
-    state = F.struct(F.array(nothing).alias("done"), F.lit(0).alias("end"), nothing.alias("best"))
+    def reached(score: Column, end: Column, start: Column, piece: Column) -> Column:
+        return F.array(F.struct(score.alias("score"), end.alias("end"), start.alias("start"), piece.alias("id")))
 
-    def step(at: Column, e: Column) -> Column:
-        start, new = e["end"] + e["back"], e["end"] > at["end"]
-        before = F.when((start > 0) & (start == at["end"]), at["best"]).otherwise(F.element_at(at["done"], start + 1))
-        done = F.when(new & (at["end"] > 0), F.concat(at["done"], F.array(at["best"]))).otherwise(at["done"])
-        score = before["score"] + e["score"]
-        reached = F.struct(score.alias("score"), e["back"].alias("back"), F.concat(before["ids"], F.array(e["id"])).alias("ids"))
+    def step(best: Column, e: Column) -> Column:
+        """`best` has the last edge of the best path to each place so far, the first for the place before the word."""
+        end = e["end"]
+        score = best[e["start"]]["score"] + e["score"]
+        new = reached(score, end, e["start"], e["id"])
         # edges of one end come longest first, so an equal score does not replace
-        best = F.when(new | (score > at["best"]["score"]), reached).otherwise(at["best"])
-        return F.struct(done.alias("done"), e["end"].alias("end"), best.alias("best"))
+        better = F.when(score > best[end]["score"], F.concat(F.slice(best, F.lit(1), end), new)).otherwise(best)
+        return F.when(F.size(best) <= end, F.concat(best, new)).otherwise(better)
 
-    path = F.aggregate("edges", state, step, lambda at: at["best"]["ids"])
-    ids = F.flatten(F.transform("path", lambda i: F.when(i >= 0, F.array(i)).otherwise(_byte_ids(-1 - i))))
-    return grouped.select("word", "n", path.alias("path")).select("word", "n", ids.alias("ids"))
+    def back(path: Column, edge: Column) -> Column:
+        taken = F.struct(edge["start"].alias("at"), F.concat(F.array(edge["id"]), path["ids"]).alias("ids"))
+        return F.when(edge["end"] == path["at"], taken).otherwise(path)
+
+    before = reached(F.lit(0.0), F.lit(-1), F.lit(-1), F.lit(0))
+    best = grouped.select("word", "n", F.aggregate("edges", before, step).alias("best"))
+    last = F.struct(chars.alias("at"), F.array().cast("array<int>").alias("ids"))
+    path = best.select("word", "n", F.aggregate(F.reverse("best"), last, back, lambda p: p["ids"]).alias("path"))
+    spelt = F.flatten(F.transform("path", lambda i: F.when(i >= 0, F.array(i)).otherwise(_byte_ids(-1 - i))))
+    return path.select("word", "n", F.when(F.exists("path", lambda i: i < 0), spelt).otherwise(F.col("path")).alias("ids"))
 
 
 class Table(NamedTuple):
@@ -267,16 +301,12 @@ class Table(NamedTuple):
     ids: np.ndarray
 
 
-def _table(hashes, ids: list) -> Table:
-    hashes = np.asarray(hashes, np.int64).view(np.uint64)
-    order = np.argsort(hashes, kind="stable")
-    lists = [ids[i] for i in order]
-    offsets = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int64)
-    flat = np.concatenate(lists).astype(np.int32) if lists else np.zeros(0, np.int32)
-    hashes, first = np.unique(hashes[order], return_index=True)
-    if len(first) != len(lists):
-        return _table(hashes.view(np.int64), [lists[i] for i in first])
-    return Table(hashes, offsets, flat)
+def _table(hashes: np.ndarray, lists: pa.ListArray) -> Table:
+    """The table of words with these hashes and ids; a word that comes again is left out."""
+    hashes, first = np.unique(hashes.view(np.uint64), return_index=True)
+    lists = lists.take(pa.array(first, pa.int64()))
+    offsets = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
+    return Table(hashes, offsets, lists.flatten().to_numpy(zero_copy_only=False).astype(np.int32))
 
 
 def _found(table: Table, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -287,42 +317,45 @@ def _found(table: Table, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, table.hashes[at] == hashes
 
 
-def _missing(shared):
+def _missing(shared, cut):
     schema = arrow_schema(_MISSING)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = b.column("row").to_numpy()
             for at, texts in _slices(b.column("bytes"), SLICE_BYTES):
-                rows, hashes = [], []
-                for row, text in zip(ids[at:], texts):
-                    found = np.unique(word_hashes_of(text)[3])
-                    found = found[~_found(shared.value, found)[1]]
-                    rows.append(np.full(len(found), row, np.int64))
-                    hashes.append(found.view(np.int64))
-                yield batch(schema, row=np.concatenate(rows), hash=np.concatenate(hashes))
+                found = words_of(texts, cut.value)
+                places = np.flatnonzero(~_found(shared.value, found.hashes)[1])
+                hashes, text = found.hashes[places], np.searchsorted(found.firsts, places, side="right") - 1
+                order = np.lexsort((hashes, text))
+                hashes, text = hashes[order], text[order]
+                new = np.ones(len(order), bool)
+                new[1:] = (hashes[1:] != hashes[:-1]) | (text[1:] != text[:-1])
+                yield batch(schema, row=ids[at + text[new]], hash=hashes[new].view(np.int64))
 
     return run
 
 
-def encode(text: bytes, *tables: Table) -> np.ndarray:
-    """Ids of a text from tables that together know all its words."""
-    hashes = word_hashes_of(text)[3]
+def encode(hashes: np.ndarray, *tables: Table) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of words from tables that together know all of them, and where each word's begin, and the last ones end."""
     lengths, starts, base, bases = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), np.int64), 0, []
+    left = np.arange(len(hashes))
     for table in tables:
-        at, hit = _found(table, hashes)
-        hit &= lengths == 0
-        starts[hit] = table.offsets[at[hit]] + base
-        lengths[hit] = table.offsets[at[hit] + 1] - table.offsets[at[hit]]
+        at, hit = _found(table, hashes[left])
+        at, known = at[hit], left[hit]
+        starts[known] = table.offsets[at] + base
+        lengths[known] = table.offsets[at + 1] - table.offsets[at]
+        left = left[~hit]
         bases.append(base)
         base += len(table.ids)
-    assert lengths.all(), "a word without ids"
-    out = np.zeros(int(lengths.sum()), np.int32)
-    place = np.repeat(starts - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths) + np.arange(len(out)) if len(out) else starts[:0]
+    assert not len(left), "a word without ids"
+    offsets = np.concatenate([[0], np.cumsum(lengths)])
+    out = np.zeros(int(offsets[-1]), np.int32)
+    place = np.repeat(starts - offsets[:-1], lengths) + np.arange(len(out))
     for table, base in zip(tables, bases):
         own = (place >= base) & (place < base + len(table.ids))
         out[own] = table.ids[place[own] - base]
-    return out
+    return out, offsets
 
 
 def decode(ids, raw: list[bytes]) -> bytes:
@@ -330,24 +363,24 @@ def decode(ids, raw: list[bytes]) -> bytes:
     return b"".join([raw[i] for i in ids])[1:]
 
 
-def _encoded(shared, raw):
+def _encoded(shared, raw, cut):
     schema = arrow_schema(_ENCODED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unzip = zstandard.ZstdDecompressor()
         for b in batches:
-            for at in range(0, b.num_rows, 128):
-                part = b.slice(at, 128)
-                out = {name: [] for name in schema.names}
-                for r in part.select(["doc_id", "packed", "rare"]).to_pylist():
-                    rare = r["rare"] or []
-                    own = _table([x["hash"] for x in rare], [np.array(x["ids"], np.int32) for x in rare])
-                    ids = encode(unzip.decompress(r["packed"]), shared.value, own)
-                    out["doc_id"].append(r["doc_id"])
-                    out["ids"].append(ids)
-                    out["n_ids"].append(len(ids))
-                    out["decoded"].append(decode(ids.tolist(), raw.value))
-                yield batch(schema, **out)
+            sizes = np.array([zstandard.frame_content_size(p) for p in b.column("packed").to_pylist()])
+            edges = np.flatnonzero(np.diff(np.cumsum(sizes) // SLICE_BYTES)) + 1
+            for at, end in zip([0, *edges.tolist()], [*edges.tolist(), b.num_rows]):
+                part = b.slice(at, end - at)
+                rare = part.column("rare").flatten()
+                own = _table(rare.field("hash").to_numpy(zero_copy_only=False), rare.field("ids"))
+                found = words_of([unzip.decompress(p) for p in part.column("packed").to_pylist()], cut.value)
+                ids, offsets = encode(found.hashes, shared.value, own)
+                ends = offsets[found.firsts]
+                decoded = [decode(ids[x:y].tolist(), raw.value) for x, y in zip(ends[:-1].tolist(), ends[1:].tolist())]
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))
+                yield pa.record_batch([part.column("doc_id"), lists, pa.array(np.diff(ends)), pa.array(decoded, pa.binary())], schema=schema)
 
     return run
 
@@ -372,18 +405,9 @@ def _frequent(types: DataFrame, most: int) -> Table:
             break
         total, least = total + row.k, row.n
     if least is None:
-        return _table([], [])
+        return _table(np.zeros(0, np.int64), pa.array([], pa.list_(pa.int32())))
     got = types.where(F.col("n") >= least).select("hash", "ids").toArrow()
-    hashes = got.column("hash").to_numpy()
-    lists = got.column("ids").combine_chunks()
-    flat, ends = lists.flatten().to_numpy(), np.cumsum(lists.value_lengths().to_numpy())
-    order = np.argsort(hashes.view(np.uint64), kind="stable")
-    lengths = np.diff(np.concatenate([[0], ends]))
-    starts = (ends - lengths)[order]
-    lengths = lengths[order]
-    offsets = np.concatenate([[0], np.cumsum(lengths)])
-    place = np.repeat(starts - offsets[:-1], lengths) + np.arange(offsets[-1])
-    return Table(hashes.view(np.uint64)[order], offsets, flat[place].astype(np.int32))
+    return _table(got.column("hash").to_numpy(), got.column("ids").combine_chunks())
 
 
 def encoded(docs: DataFrame, path: str = VOCABULARY, frequent: int = FREQUENT, runs: bool = True) -> DataFrame:
@@ -397,7 +421,8 @@ def encoded(docs: DataFrame, path: str = VOCABULARY, frequent: int = FREQUENT, r
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row"), utf8().alias("bytes"))
     total = rows.agg(F.coalesce(F.sum(F.octet_length("bytes")), F.lit(0))).first()[0]
     tasks = min(max(16, total // TASK_BYTES), MOST_TASKS)
-    words = distinct_words(docs.select("text")).repartition(tasks, "word").groupBy("word")
+    cut = spark.sparkContext.broadcast(cuts(vocabulary))
+    words = distinct_words(rows, cut).repartition(tasks, "word").groupBy("word")
     # an aggregate, so that the condition on it stays above the shuffle and both branches share that
     words = words.agg(F.sum("n").alias("n"), F.max(F.length("word")).alias("chars"))
     short, long = words.where(F.col("chars") <= LONGEST_WORD), words.where(F.col("chars") > LONGEST_WORD)
@@ -405,10 +430,10 @@ def encoded(docs: DataFrame, path: str = VOCABULARY, frequent: int = FREQUENT, r
     types = landed(types, "words")
     shared = spark.sparkContext.broadcast(_frequent(types, frequent))
     raw = spark.sparkContext.broadcast(vocabulary.raw)
-    missing = rows.select("row", "bytes").mapInArrow(_missing(shared), _MISSING)
+    missing = rows.select("row", "bytes").mapInArrow(_missing(shared, cut), _MISSING)
     rare = missing.join(types.select("hash", "ids"), "hash").groupBy("row").agg(F.collect_set(F.struct("hash", "ids")).alias("rare"))
     packed = rows.mapInArrow(_packed, "doc_id long, row long, packed binary")
-    return packed.join(rare, "row", "left").mapInArrow(_encoded(shared, raw), _ENCODED)
+    return packed.join(rare, "row", "left").mapInArrow(_encoded(shared, raw, cut), _ENCODED)
 
 
 def round_trip(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
