@@ -1,16 +1,18 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
-A text, with a space put first, is cut into words between any two characters whose
-bytes meet in no piece of the vocabulary: before a space after a letter, at a line end,
-mostly at punctuation and around digits. No piece goes over such a cut, so words are
-encoded one by one, and each distinct word once:
+A text, with a space put first, falls into words: a run of spaces and what follows it
+up to the next space, line end or tab; line ends and tabs stand alone. What a word ends
+with, as far as no two of its characters meet in a piece (a comma, digits), is cut off
+character by character: these have one path each and take no part in that before them. No
+piece of the vocabulary goes over such a cut, so words are encoded one by one,
+and each distinct word once:
 
 1. Every substring of up to LONGEST_PIECE characters of a word is a row; an equi-join
    with the piece table leaves the edges of the word's lattice. A character
    that is no piece gets an edge of its own, whose ids are its UTF-8 bytes'.
 2. Edges are grouped by word and a higher-order aggregate folds them, by where
-   they end, into the best edge into each place (Viterbi); a second one goes back
-   over these from the word's end and gives the best path.
+   they end, into the best edge into each place (Viterbi). The way back over these
+   from a word's end, its best path, is read off for a batch of words at once.
 3. Words beyond LONGEST_WORD characters are not cut. They are exploded by blocks, each
    with the characters before it that a piece can reach, and a word's edges are not
    grouped but sorted by where they end and folded as a stream: the scores of the
@@ -51,10 +53,12 @@ FREQUENT = 1 << 20
 #: Text bytes for each task that builds lattices, and most such tasks; more words a task are spilled.
 TASK_BYTES, MOST_TASKS = 4 << 20, 20_000
 #: Bytes of text that a task works on at once, and most distinct words that it holds while it counts.
-SLICE_BYTES, HELD_WORDS = 1 << 20, 1 << 17
+SLICE_BYTES, HELD_WORDS = 1 << 20, 1 << 18
 ZIPF, UNKNOWN = 2.7, 10.0
 FIRST_BYTE = 3
 
+_ALONE = np.zeros(256, bool)
+_ALONE[[0x0A, 0x09]] = True
 _BLOCKS = "hash long, n long, at long, before int, block string"
 _EDGES = "hash long, n long, end long, size int, score double, id int"
 _HASHED = "hash long, n long, ids array<int>"
@@ -89,9 +93,8 @@ def pieces(path: str = VOCABULARY, runs: bool = False) -> Pieces:
 
 
 def cuts(vocabulary: Pieces) -> np.ndarray:
-    """Of each two bytes, the first one's value times 256 and the second one's added, whether texts are cut between them: where no piece has both and a character begins."""
+    """Of each two bytes, the first one's value times 256 and the second one's added, whether no piece has them side by side."""
     cut = np.ones((256, 256), bool)
-    cut[:, 0x80:0xC0] = False
     joined = np.frombuffer(b"\n".join(t.encode() for t in vocabulary.texts if t is not None), np.uint8)
     inside = (joined[:-1] != 0x0A) & (joined[1:] != 0x0A)
     cut[joined[:-1][inside], joined[1:][inside]] = False
@@ -109,14 +112,23 @@ class Words(NamedTuple):
 
 
 def words_of(texts: list[bytes], cut: np.ndarray) -> Words:
-    """The words of texts, cut where `cut` says and between texts; an empty text has none."""
+    """The words of texts, their ends cut off where `cut` says; an empty text has none."""
     data = b"".join([b" " + t if t else b"" for t in texts])
     begins = np.cumsum([0, *(len(t) + 1 if t else 0 for t in texts)])
     raw = np.frombuffer(data, np.uint8)
     first = np.ones(len(raw), bool)
     if len(raw):
-        first[1:] = cut[(raw[:-1].astype(np.uint16) << 8) | raw[1:]]
+        space, alone = raw == 0x20, _ALONE[raw]
+        first[1:] = (space[1:] & ~space[:-1]) | alone[1:] | alone[:-1]
         first[begins[:-1][np.diff(begins) > 0]] = True
+        # characters that meet the one before in a piece, and the last one of each word
+        begun = (raw & 0xC0) != 0x80
+        apart = np.append(True, cut[(raw[:-1].astype(np.uint16) << 8) | raw[1:]])
+        met = np.flatnonzero(begun & ~apart & ~first)
+        starts = np.flatnonzero(first)
+        last = np.full(len(starts), -1)
+        last[np.searchsorted(starts, met, side="right") - 1] = met
+        first |= begun & (np.arange(len(raw)) > np.repeat(np.where(last < 0, starts, last), np.diff(np.append(starts, len(raw)))))
     starts = np.flatnonzero(first)
     ends = np.append(starts[1:], len(raw))[: len(starts)]
     return Words(data, starts, ends, range_hashes(running(raw), starts, ends), np.searchsorted(starts, begins))
@@ -148,8 +160,11 @@ def _counted(cut):
                     word = found.data[start:end]
                     held[word] = held.get(word, 0) + n
                 if len(held) > HELD_WORDS:
-                    yield made(held)
-                    held = {}
+                    # those seen again are held on, so that they are not given out time and again
+                    again = {word: n for word, n in held.items() if n > 1}
+                    again = again if len(again) <= HELD_WORDS // 2 else {}
+                    yield made({word: n for word, n in held.items() if word not in again})
+                    held = again
         if held:
             yield made(held)
 
@@ -161,14 +176,36 @@ def distinct_words(rows: DataFrame, cut) -> DataFrame:
     return rows.select("bytes").mapInArrow(_counted(cut), _COUNTED)
 
 
-def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words with the hashes that they have in texts."""
+def _paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words with the hashes that they have in texts and the ids of their best paths, from the last edges into their places."""
     schema = arrow_schema(_HASHED)
     for b in batches:
         words = [w.encode() for w in b.column("word").to_pylist()]
         ends = np.cumsum([0, *map(len, words)])
         sums = running(np.frombuffer(b"".join(words), np.uint8))
-        yield batch(schema, hash=range_hashes(sums, ends[:-1], ends[1:]).view(np.int64), n=b.column("n"), ids=b.column("ids"))
+        places = b.column("starts").value_lengths().to_numpy(zero_copy_only=False)
+        starts, pieces = (b.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("starts", "ids"))
+        base = np.cumsum(places) - places
+        word, at, of, taken = np.arange(len(words)), places - 1, [], []
+        while len(word):
+            of.append(word)
+            taken.append(pieces[base[word] + at])
+            at = starts[base[word] + at]
+            word, at = word[at > 0], at[at > 0]
+        of, ids = np.concatenate(of[::-1]), np.concatenate(taken[::-1])
+        order = np.argsort(of, kind="stable")
+        of, ids = of[order], ids[order].astype(np.int32)
+        spelt = np.flatnonzero(ids < 0)
+        if len(spelt):
+            raw = [chr(-1 - i).encode() for i in ids[spelt].tolist()]
+            times = np.ones(len(ids), np.int64)
+            times[spelt] = [len(r) for r in raw]
+            of, ids = np.repeat(of, times), np.repeat(ids, times)
+            ids[ids < 0] = np.frombuffer(b"".join(raw), np.uint8).astype(np.int32) + FIRST_BYTE
+        offsets = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(words)))])
+        hashes = range_hashes(sums, ends[:-1], ends[1:]).view(np.int64)
+        lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids))
+        yield pa.record_batch([pa.array(hashes), b.column("n").cast(pa.int64()), lists], schema=schema)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,13 +258,6 @@ def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch(schema, **out)
 
 
-def _byte_ids(code_point: Column) -> Column:
-    char = F.decode(F.unhex(F.lpad(F.hex(code_point.cast("long")), 8, "0")), "UTF-32")
-    digits = F.hex(F.encode(char, "UTF-8"))
-    places = F.sequence(F.lit(1), F.length(digits), F.lit(2))
-    return F.transform(places, lambda k: (F.conv(F.substring(digits, k, F.lit(2)), 16, 10) + FIRST_BYTE).cast("int"))
-
-
 def _edges(strings: DataFrame, vocabulary: Pieces) -> DataFrame:
     """Rows of `strings` (piece, size) that are pieces or single characters, with score and id."""
     known = [(t, i, s) for i, (t, s) in enumerate(zip(vocabulary.texts, vocabulary.scores)) if t is not None]
@@ -260,43 +290,36 @@ def long_paths(words: DataFrame, vocabulary: Pieces) -> DataFrame:
 
 
 def best_paths(words: DataFrame, vocabulary: Pieces) -> DataFrame:
-    """(word, n, ids) of distinct words (word, n); they are not shuffled if they are dealt out by word."""
-    chars = F.length("word")
-    spots = words.select("n", "word", F.explode(F.sequence(F.lit(1), chars)).alias("end"))
+    """(word, n, starts, ids) of distinct words (word, n), with start and id of the best path's last edge into each place; they are not shuffled if they are dealt out by word."""
+    spots = words.select("n", "word", F.explode(F.sequence(F.lit(1), F.length("word"))).alias("end"))
     strings = spots.select("n", "word", "end", _sizes(F.col("end"))).select(
         "n", "word", "end", "size", F.substring(F.col("word"), F.col("end") - F.col("size") + 1, F.col("size")).alias("piece")
     )
     edge = F.struct("end", (F.col("end") - F.col("size")).alias("start"), "score", "id")
     grouped = _edges(strings, vocabulary).groupBy("word").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(edge)).alias("edges"))
 
-    def reached(score: Column, end: Column, start: Column, piece: Column) -> Column:
-        return F.array(F.struct(score.alias("score"), end.alias("end"), start.alias("start"), piece.alias("id")))
+    def reached(score: Column, start: Column, piece: Column) -> Column:
+        return F.array(F.struct(score.alias("score"), start.alias("start"), piece.alias("id")))
 
     def step(best: Column, e: Column) -> Column:
         """`best` has the last edge of the best path to each place so far, the first for the place before the word."""
         end = e["end"]
         score = best[e["start"]]["score"] + e["score"]
-        new = reached(score, end, e["start"], e["id"])
+        new = reached(score, e["start"], e["id"])
         # edges of one end come longest first, so an equal score does not replace
         better = F.when(score > best[end]["score"], F.concat(F.slice(best, F.lit(1), end), new)).otherwise(best)
         return F.when(F.size(best) <= end, F.concat(best, new)).otherwise(better)
 
-    def back(path: Column, edge: Column) -> Column:
-        taken = F.struct(edge["start"].alias("at"), F.concat(F.array(edge["id"]), path["ids"]).alias("ids"))
-        return F.when(edge["end"] == path["at"], taken).otherwise(path)
-
-    before = reached(F.lit(0.0), F.lit(-1), F.lit(-1), F.lit(0))
-    best = grouped.select("word", "n", F.aggregate("edges", before, step).alias("best"))
-    last = F.struct(chars.alias("at"), F.array().cast("array<int>").alias("ids"))
-    path = best.select("word", "n", F.aggregate(F.reverse("best"), last, back, lambda p: p["ids"]).alias("path"))
-    spelt = F.flatten(F.transform("path", lambda i: F.when(i >= 0, F.array(i)).otherwise(_byte_ids(-1 - i))))
-    return path.select("word", "n", F.when(F.exists("path", lambda i: i < 0), spelt).otherwise(F.col("path")).alias("ids"))
+    best = grouped.select("word", "n", F.aggregate("edges", reached(F.lit(0.0), F.lit(0), F.lit(0)), step).alias("best"))
+    return best.select("word", "n", F.col("best.start").alias("starts"), F.col("best.id").alias("ids"))
 
 
 class Table(NamedTuple):
-    """Sorted hashes of words and their ids, one word's after the other's."""
+    """Sorted hashes of words, the first place of each that begins with the same `bits`, and their ids, one word's after the other's."""
 
     hashes: np.ndarray
+    heads: np.ndarray
+    bits: int
     offsets: np.ndarray
     ids: np.ndarray
 
@@ -306,14 +329,24 @@ def _table(hashes: np.ndarray, lists: pa.ListArray) -> Table:
     hashes, first = np.unique(hashes.view(np.uint64), return_index=True)
     lists = lists.take(pa.array(first, pa.int64()))
     offsets = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
-    return Table(hashes, offsets, lists.flatten().to_numpy(zero_copy_only=False).astype(np.int32))
+    bits = max(len(hashes).bit_length(), 1)
+    heads = np.searchsorted(hashes, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
+    return Table(hashes, heads.astype(np.int32), bits, offsets, lists.flatten().to_numpy(zero_copy_only=False).astype(np.int32))
 
 
 def _found(table: Table, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places in a table, and whether they are the words."""
     if not len(table.hashes):
         return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
-    at = np.minimum(np.searchsorted(table.hashes, hashes), len(table.hashes) - 1)
+    last = len(table.hashes) - 1
+    at = np.minimum(table.heads[hashes >> np.uint64(64 - table.bits)], last)
+    # hashes are spread evenly, so few share a head
+    left = np.flatnonzero(table.hashes[at] < hashes)
+    while len(left):
+        at[left] += 1
+        left = left[at[left] <= last]
+        left = left[table.hashes[at[left]] < hashes[left]]
+    at = np.minimum(at, last)
     return at, table.hashes[at] == hashes
 
 
@@ -338,7 +371,7 @@ def _missing(shared, cut):
 
 def encode(hashes: np.ndarray, *tables: Table) -> tuple[np.ndarray, np.ndarray]:
     """Ids of words from tables that together know all of them, and where each word's begin, and the last ones end."""
-    lengths, starts, base, bases = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), np.int64), 0, []
+    lengths, starts, base = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), np.int64), 0
     left = np.arange(len(hashes))
     for table in tables:
         at, hit = _found(table, hashes[left])
@@ -346,16 +379,11 @@ def encode(hashes: np.ndarray, *tables: Table) -> tuple[np.ndarray, np.ndarray]:
         starts[known] = table.offsets[at] + base
         lengths[known] = table.offsets[at + 1] - table.offsets[at]
         left = left[~hit]
-        bases.append(base)
         base += len(table.ids)
     assert not len(left), "a word without ids"
     offsets = np.concatenate([[0], np.cumsum(lengths)])
-    out = np.zeros(int(offsets[-1]), np.int32)
-    place = np.repeat(starts - offsets[:-1], lengths) + np.arange(len(out))
-    for table, base in zip(tables, bases):
-        own = (place >= base) & (place < base + len(table.ids))
-        out[own] = table.ids[place[own] - base]
-    return out, offsets
+    place = np.repeat(starts - offsets[:-1], lengths) + np.arange(offsets[-1])
+    return np.concatenate([table.ids for table in tables])[place], offsets
 
 
 def decode(ids, raw: list[bytes]) -> bytes:
@@ -426,7 +454,7 @@ def encoded(docs: DataFrame, path: str = VOCABULARY, frequent: int = FREQUENT, r
     # an aggregate, so that the condition on it stays above the shuffle and both branches share that
     words = words.agg(F.sum("n").alias("n"), F.max(F.length("word")).alias("chars"))
     short, long = words.where(F.col("chars") <= LONGEST_WORD), words.where(F.col("chars") > LONGEST_WORD)
-    types = best_paths(short, vocabulary).mapInArrow(_hashed, _HASHED).unionByName(long_paths(long, vocabulary))
+    types = best_paths(short, vocabulary).mapInArrow(_paths, _HASHED).unionByName(long_paths(long, vocabulary))
     types = landed(types, "words")
     shared = spark.sparkContext.broadcast(_frequent(types, frequent))
     raw = spark.sparkContext.broadcast(vocabulary.raw)
@@ -439,5 +467,5 @@ def encoded(docs: DataFrame, path: str = VOCABULARY, frequent: int = FREQUENT, r
 def round_trip(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
     """doc_id, n_ids, ids_sha256 (of the ids, comma-joined) and decoded_sha256 of every row, with the ids; all pieces are used."""
     found = encoded(docs, path, runs=True)
-    listed = F.array_join(F.transform("ids", lambda i: i.cast("string")), ",")
+    listed = F.replace(F.btrim(F.col("ids").cast("string"), F.lit("[]")), F.lit(", "), F.lit(","))
     return found.select("doc_id", "n_ids", F.sha2(listed, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), "ids")

@@ -1,6 +1,11 @@
+from collections import Counter
+from types import SimpleNamespace
+
+import pyarrow as pa
 import pytest
 
-from celloom.llm.sentencepiece import FIRST_BYTE, VOCABULARY, decode, encoded, pieces, round_trip
+from celloom.llm import sentencepiece
+from celloom.llm.sentencepiece import FIRST_BYTE, VOCABULARY, cuts, decode, encoded, pieces, round_trip, words_of
 from tests.llm.helpers import documents
 
 
@@ -119,3 +124,31 @@ def test_digests(spark):
 
 def test_empty_table(spark):
     assert encoded(documents(spark, [])).collect() == []
+
+
+def test_ends_of_words_are_cut_off():
+    """Single characters at a word's end that meet in no piece are words; what a piece can go over is not cut."""
+    texts = [b"word, word.\tword  word", b"", "漢字, a!! it's".encode()]
+    found = words_of(texts, cuts(pieces(runs=True)))
+    got = [found.data[a:b].decode() for a, b in zip(found.starts, found.ends)]
+    assert "".join(got) == " word, word.\tword  word 漢字, a!! it's"
+    assert got[:7] == [" word", ",", " word", ".", "\t", "word", "  word"] and got[-2:] == [" a!!", " it's"]
+    assert found.firsts.tolist()[:3] == [0, 7, 7] and found.firsts[-1] == len(got)
+
+
+@pytest.mark.parametrize("held", [4, 1 << 18])
+def test_a_task_counts_its_words(monkeypatch, held):
+    """A word comes once for each time that the task's words are given out, not once for each text."""
+    monkeypatch.setattr(sentencepiece, "HELD_WORDS", held)
+    monkeypatch.setattr(sentencepiece, "SLICE_BYTES", 64)
+    texts = [b"one word, two words, one word" for _ in range(50)] + [f"text number{i}".encode() for i in range(20)]
+    batches = [pa.record_batch({"bytes": pa.array(texts[k : k + 7], pa.binary())}) for k in range(0, len(texts), 7)]
+    cut, rows = cuts(pieces(runs=True)), []
+    for b in sentencepiece._counted(SimpleNamespace(value=cut))(iter(batches)):
+        rows += zip(b.column("word").to_pylist(), b.column("n").to_pylist())
+    total = Counter()
+    for word, n in rows:
+        total[word] += n
+    found = words_of(texts, cut)
+    assert total == Counter(found.data[a:b].decode() for a, b in zip(found.starts, found.ends))
+    assert held == 4 or len(rows) == len(total)
