@@ -134,3 +134,32 @@ def test_next_key(spark):
     assert next_key(df, "recid", 6).first()[0] == 71
     assert next_key(df, "recid", 71).first()[0] == 71
     assert next_key(df, "recid", 100).first()[0] == 100
+
+
+def test_a_landing_is_packed(spark, folder):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    records = _records(spark, 3000)
+    land_raw(records, f"{folder}/packed")
+    land_raw(records, f"{folder}/dated", date_tag="c9")
+    for path in glob.glob(f"{folder}/*/*.parquet"):
+        group = pq.ParquetFile(path).metadata.row_group(0)
+        assert {group.column(k).compression for k in range(group.num_columns)} == {"ZSTD"}
+
+
+def test_only_an_uneven_scan_is_dealt_out(spark, folder):
+    from celloom.queries import _spread_table
+
+    rows = spark.range(4000)
+    rows.repartition(8).write.parquet(f"{folder}/even")
+    rows.coalesce(1).write.parquet(f"{folder}/one")
+    spark.conf.set("spark.sql.files.openCostInBytes", "64m")  # a task a file
+    try:
+        for name, dealt in (("even", False), ("one", True)):
+            spread = _spread_table(spark.read.parquet(f"{folder}/{name}"))
+            assert ("REBALANCE" in spread._jdf.queryExecution().executedPlan().toString()) == dealt
+            assert spread.count() == 4000
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
