@@ -140,3 +140,63 @@ def test_lines_are_plain(spark, data):
     """What keeps the queries over lines off the slow way: none of their records is left to the parser."""
     lines = X.line_records(spark.read.parquet(f"{data}/lineitem.parquet")).select("XMLRECORD")
     assert lines.mapInArrow(plain.not_plain, "XMLRECORD string").isEmpty()
+
+
+def _of_parser(df, rows, shapes):
+    """The columns from the built-in parser's cells alone."""
+    parsed = df.withColumn(P.PARSED, parse_xml("XMLRECORD", xml_schema(rows)))
+    return parsed.selectExpr("recid", *[P.wide_column(r, shapes[r.name]) for r in rows])
+
+
+def test_wide_columns_as_the_cells_make_them(spark, records):
+    more = [
+        '<row><c1 m="3">a</c1><c1 m="1">b</c1><c1 m="3">c</c1><c1/></row>',
+        '<row><c1 m="4" s="2">a</c1><c1 m="2" s="3">b</c1><c1 m="2">c</c1><c1 m="2" s="3">d</c1></row>',
+        '<row><c1 m="10001">a</c1><c20 m="2" s="10001">b</c20></row>',
+        '<row><c20>a</c20><c20 m="2" s="2"/><c20 m="2">b</c20><c12>x</c1></row>',
+        '<row><c20>a</c20><c20 m="2" s="2"/><c20 m="2">b</c20><c12>x</c12></row>',
+    ]
+    known = records.where(~F.col("XMLRECORD").contains("999999999") | F.col("XMLRECORD").isNull())
+    df = known.unionByName(spark.createDataFrame([(-k, t) for k, t in enumerate(more, 1)], "recid int, XMLRECORD string"))
+    rows = [LookupRow("c1", None, "n0"), *(LookupRow("c20", m, f"n{m}") for m in (1, 2, 3)), LookupRow("c7", None, "n7"), LookupRow("c0", None, "n9")]
+    for lone in (S.SCALAR, S.LIST, S.NESTED):
+        shapes = {r.name: S.LIST if lone == S.NESTED and r.m_index is not None else lone for r in rows}
+        got = P.parse_wide(df, rows, shapes=shapes)
+        want = _of_parser(df, rows, shapes)
+        assert dict(got.dtypes) == dict(want.dtypes)
+        assert _sorted(got.select(*want.columns)) == _sorted(want)
+    texts = pa.array(PLAIN + more, pa.string())
+    made = plain._batch_wide(texts, [("c20", 2, 1), ("c1", None, 0)])
+    assert made.is_valid().to_pylist() == [True] * 4 + [False, True] + [True, True, False, False, True]
+
+
+def test_lists_are_not_taken_from_cells(spark):
+    """The loops over cells are left to records that are not plain."""
+    df = spark.createDataFrame([(k, f'<row><c1 m="2">{k}</c1></row>') for k in range(50)], "recid int, XMLRECORD string")
+    plan = P.parse_wide(df, [LookupRow("c1", None, "n")], shapes={"n": S.LIST})._jdf.queryExecution().executedPlan().toString()
+    assert "_wide" in plan and "CASE WHEN isnull(" in plan
+
+
+def test_marks_are_of_plain_records_only():
+    traits = [("sub", "c1"), ("list", "c1"), ("group", "c1", 1), ("group", "c1", 3), ("list", "c2")]
+
+    def seen(*texts):
+        batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["x"])
+        made = plain.position_marks(traits)(iter([batch, batch]))
+        return sorted(k for b in made for k in b.column(0).to_pylist())
+
+    assert seen('<row><c1 m="1" s="1">a</c1><c12 m="2" s="2">b</c12></row>') == []
+    assert seen('<row><c1 s="2">a</c1></row>') == [0, 2]
+    assert seen('<row><c1 m="3" s="10">a</c1></row>', None) == [-1, 0, 1, 3]
+    assert seen('<row><c1 m="13" s="2">a</c1></row>') == [0, 1]
+    assert seen('<row><c2 m="2">a</c1></row>') == [-1]
+
+
+def test_few_cells_are_rendered_as_many(spark):
+    n = F.col("n")
+    df = spark.createDataFrame([(k,) for k in (None, -2, 0, *range(1, 13))], "n int")
+    for step, made in ((1, df), (2, df.where("n > 0"))):
+        render = lambda k: X.cell("c1", n * 10 + k, k, number=True)
+        by = [F.lit(step)] if step > 1 else []
+        looped = X.cells(F.sequence(F.lit(1), n, *by), render)
+        assert made.where(~X.counted_cells(n, render, step).eqNullSafe(looped)).isEmpty()
