@@ -170,6 +170,17 @@ def test_wide_columns_as_the_cells_make_them(spark, records):
     assert made.is_valid().to_pylist() == [True] * 4 + [False, True] + [True, True, False, False, True]
 
 
+def test_a_batch_of_long_lists_is_taken_in_parts(monkeypatch):
+    texts = pa.array(PLAIN + ODD + _random(), pa.string())
+    columns = [("c1", None, 2), ("c20", 2, 1), ("c50", None, 1), ("c7", None, 0)]
+    whole = plain._batch_wide(texts, columns)
+    taken, elements = [], plain._elements
+    monkeypatch.setattr(plain, "MOST_PLACES", 20)
+    monkeypatch.setattr(plain, "_elements", lambda text: taken.append(len(text)) or elements(text))
+    assert plain._batch_wide(texts, columns).equals(whole)
+    assert len(taken) > 30 and whole.null_count > len(ODD) - 1
+
+
 def test_lists_are_not_taken_from_cells(spark):
     """The loops over cells are left to records that are not plain."""
     df = spark.createDataFrame([(k, f'<row><c1 m="2">{k}</c1></row>') for k in range(50)], "recid int, XMLRECORD string")
